@@ -1,10 +1,10 @@
 """Exact grouped quantiles of decimals with bounded groups.
 
-``percentile`` keeps every distinct value of a group in one task's memory. Here the
-values are counted first, then the wanted ranks are located digit by digit: the
-unscaled value is cut into three digits of base 4096, and each round ranks only the
-4096 (first round: 2^17) possible digits of a group before moving into one of them.
-No task ever sees more than that many rows of a group, however many readings it has.
+``percentile`` keeps every distinct value of a group in one task's memory. Here equal
+values are counted first, then each wanted rank is located in two steps: among the
+high digits of a group (the unscaled value shifted by 20 bits, at most 2^21 of them
+for 12 decimal places), then among the 2^20 values that share that digit. A task ranks
+no more rows of a group than that, however many readings the group has.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BASE_BITS = 12
+DIGIT_BITS = 20
 MAX_PRECISION = 12
 
 
@@ -31,54 +31,44 @@ def group_quantiles(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, (F.col(value) * unit).cast("bigint").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    high, low = F.shiftright("_v", 2 * BASE_BITS), F.lit((1 << BASE_BITS) - 1)
-    counted = counted.withColumns(
-        {
-            "_d0": high,
-            "_d1": F.shiftright("_v", BASE_BITS).bitwiseAND(low),
-            "_d2": F.col("_v").bitwiseAND(low),
-        }
+        .withColumn("_digit", F.shiftright("_v", DIGIT_BITS))
     )
 
-    # Two order statistics per quantile: below and above the fractional position.
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    names = F.array(
-        *[F.struct(F.lit(name).alias("_q"), F.lit(float(p)).alias("_p")) for name, p in probs.items()]
-    )
-    position = (F.col("_total") - 1) * F.col("_p")
-    ranks = sizes.select(*keys, "_total", F.inline(names)).select(
-        *keys,
-        "_q",
-        (position - F.floor(position)).alias("_w"),
-        F.explode(F.array(F.floor(position), F.ceil(position))).alias("_rank"),
-    ).dropDuplicates([*keys, "_q", "_rank"])
+    def rows_before(by: list[str], order: str, count: str):
+        window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(count).over(window), F.lit(0))
 
-    found = ranks
-    inside: list[str] = []
-    for digit in ("_d0", "_d1", "_d2"):
-        # Counts below each digit of each prefix that still holds a wanted rank.
-        by = [*keys, *inside]
-        prefix = counted if not inside else counted.join(found.select(*by).distinct(), by, "left_semi")
-        per_digit = prefix.groupBy(*by, digit).agg(F.sum("_n").alias("_c"))
-        before = Window.partitionBy(*by).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
-        spans = per_digit.withColumn("_from", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        hit = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("_c"))
-        found = (
-            found.join(spans, by)
-            .filter(hit)
-            .withColumn("_rank", F.col("_rank") - F.col("_from"))
-            .drop("_from", "_c")
-        )
-        inside.append(digit)
+    # The two order statistics around each fractional position, placed in their high digit.
+    total = F.sum("_c").over(Window.partitionBy(*keys))
+    digits = counted.groupBy(*keys, "_digit").agg(F.sum("_n").alias("_c")).withColumns(
+        {"_from": rows_before(keys, "_digit", "_c"), "_total": total}
+    )
+    wanted = []
+    for name, p in probs.items():
+        position = (F.col("_total") - 1) * F.lit(float(p))
+        for rank in (F.floor(position), F.ceil(position)):
+            inside = (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_c"))
+            entry = F.struct(
+                F.lit(name).alias("q"),
+                (rank - F.col("_from")).alias("rank"),
+                (position - F.floor(position)).alias("weight"),
+            )
+            wanted.append(F.when(inside, entry))
+    placed = digits.select(*keys, "_digit", F.array_compact(F.array(*wanted)).alias("_wanted")).filter(
+        F.size("_wanted") > 0
+    )
 
-    number = (
-        F.shiftleft("_d0", 2 * BASE_BITS) + F.shiftleft("_d1", BASE_BITS) + F.col("_d2")
-    ).cast("double") / float(unit)
-    per_quantile = found.groupBy(*keys, "_q").agg(
-        F.min(number).alias("_lo"), F.max(number).alias("_hi"), F.first("_w").alias("_w")
+    # Only values that share a wanted digit are ranked, and only against each other.
+    candidates = counted.join(placed, [*keys, "_digit"]).withColumn(
+        "_from", rows_before([*keys, "_digit"], "_v", "_n")
     )
-    blended = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")
-    return per_quantile.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_q") == name, blended)).alias(name) for name in probs]
+    hits = candidates.select(*keys, "_v", "_from", "_n", F.inline("_wanted")).filter(
+        (F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_from") + F.col("_n"))
     )
+
+    def blended(name: str):
+        mine = F.col("q") == name
+        low, high = F.min(F.when(mine, F.col("_v"))), F.max(F.when(mine, F.col("_v")))
+        return ((low + (high - low) * F.max(F.when(mine, F.col("weight")))) / float(unit)).alias(name)
+
+    return hits.groupBy(*keys).agg(*[blended(name) for name in probs])
