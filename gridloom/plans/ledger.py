@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,3 +14,27 @@ def load_summary(metrics: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "skipped").alias("skipped"),
         F.coalesce(F.sum("rows_inserted"), F.lit(0)).cast("bigint").alias("total_rows"),
     )
+
+
+def split_candidates(files: DataFrame, ledger: DataFrame, source_table: str) -> DataFrame:
+    """Candidate files with the ``existing_rows`` of an earlier load, NULL for pending ones.
+
+    A file is known by its base name, also when it had no rows.
+    """
+    loaded = ledger.filter(F.col("source_table") == source_table).select(
+        "source_file", F.col("rows_inserted").alias("existing_rows")
+    )
+    return files.join(loaded, "source_file", "left")
+
+
+def batches_of(ledger: DataFrame, source_table: str, source_files: Sequence[str]) -> dict[str, str]:
+    """{file: batch id} of those files that were loaded; one ledger row per file."""
+    rows = ledger.filter(
+        (F.col("source_table") == source_table) & F.col("source_file").isin(list(source_files))
+    ).select("source_file", "batch_id")
+    return {r.source_file: r.batch_id for r in rows.collect()}
+
+
+def batch_with_fallback(ledger: DataFrame, source_table: str, preferred: str, fallback: str) -> str | None:
+    found = batches_of(ledger, source_table, [preferred, fallback])
+    return found.get(preferred, found.get(fallback))

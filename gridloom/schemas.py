@@ -12,6 +12,7 @@ class Table:
     keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
+    versioned: bool = False  # rewritten whole into a new folder, see sources.warehouse
 
     @property
     def columns(self) -> list[str]:
@@ -58,6 +59,7 @@ RAW_CUSTOMERS = Table(
     "_loaded_at timestamp_ntz",
     keys=("customer_id",),
     required=("customer_id",),
+    versioned=True,
 )
 RAW_METERS = Table(
     "raw/raw_meters",
@@ -65,6 +67,7 @@ RAW_METERS = Table(
     "status string, _loaded_at timestamp_ntz",
     keys=("meter_id",),
     required=("meter_id",),
+    versioned=True,
 )
 RAW_LOCATIONS = Table(
     "raw/raw_locations",
@@ -72,6 +75,7 @@ RAW_LOCATIONS = Table(
     "latitude decimal(10,7), longitude decimal(10,7), timezone string, _loaded_at timestamp_ntz",
     keys=("location_id",),
     required=("location_id",),
+    versioned=True,
 )
 
 STG_READINGS = Table(
@@ -109,30 +113,35 @@ DIM_DATE = Table(
     "week_of_year smallint, day_of_month smallint, day_of_week smallint, day_name string, "
     "is_weekend boolean, is_holiday boolean, fiscal_year smallint, fiscal_quarter smallint",
     keys=("date_key",),
+    versioned=True,
 )
 DIM_TIME = Table(
     "analytics/dim_time",
     "time_key int, hour smallint, minute smallint, time_of_day string, period_name string, "
     "is_peak boolean, is_business_hr boolean",
     keys=("time_key",),
+    versioned=True,
 )
 DIM_CUSTOMER = Table(
     "analytics/dim_customer",
     "customer_key int, customer_id string, customer_name string, tariff_type string, segment string, "
     "status string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
     keys=("customer_key",),
+    versioned=True,
 )
 DIM_LOCATION = Table(
     "analytics/dim_location",
     "location_key int, location_id string, address string, city string, region string, country string, "
     "latitude decimal(10,7), longitude decimal(10,7), timezone string",
     keys=("location_id",),
+    versioned=True,
 )
 DIM_METER = Table(
     "analytics/dim_meter",
     "meter_key int, meter_id string, meter_type string, install_date date, status string, "
     "customer_key int, location_key int",
     keys=("meter_id",),
+    versioned=True,
 )
 FACT_CONSUMPTION = Table(
     "analytics/fact_consumption",
