@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.keys import date_key, time_key
@@ -14,13 +15,24 @@ from gridloom.functions.tariff import customer_segment, energy_cost, peak_demand
 from gridloom.functions.text import blank_to_null, is_negative_number, looks_like_date, looks_like_number, strip
 from gridloom.operators import marts, quality, scd2
 from gridloom.operators.calendar import build_dim_date, build_dim_time
-from gridloom.operators.dims import TRACKED, build_dim_meter, merge_dim_customer, resolve_meters, upsert_dim_location
+from gridloom.operators.dims import TRACKED, build_dim_meter, merge_dim_customer, upsert_dim_location
 from gridloom.operators.fact import build_fact_consumption, hourly_weather, meter_profile, upsert_fact
-from gridloom.operators.merge import absent_rows, duplicate_keys, insert_if_absent, merge_upsert, orphan_rows
+from gridloom.operators.merge import absent_rows, insert_if_absent, merge_upsert, orphan_rows
 from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER
 from gridloom.operators.surrogate import assign_keys
 from gridloom.plans import oracle_parts as o
+from gridloom.plans.ingest import ingest_files, ingest_reference
+from gridloom.plans.ledger import load_summary
+from gridloom.plans.pipeline import METER_FEED, backfill, run_day
+from gridloom.schemas import (
+    DIM_CUSTOMER, DIM_LOCATION, DIM_METER, FACT_CONSUMPTION, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS,
+    RAW_READINGS, RAW_TELEMETRY, RAW_WEATHER, STG_READINGS,
+)
+from gridloom.session import scratch_dir
 from gridloom.sources import fixtures as fx
+from gridloom.sources.landing import METER_FILES, TELEMETRY_FILES, WEATHER_FILES
+from gridloom.sources.warehouse import Warehouse
+from gridloom.streaming.incremental import incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,10 +49,6 @@ def register(name: str, oracle: str | None):
     return add
 
 
-def big(column: str | F.Column) -> F.Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("bigint")
-
-
 # --- sources, shapes, scalar functions ------------------------------------
 
 _PADDED = "chr(9) || ' ' || chr(160) || event_type || ' ' || chr(10)"
@@ -206,8 +214,6 @@ _BATCH = "readings_2024-01-15.csv"
 )
 def stage_one_batch(spark, sf):
     """One day's batch, the unit in which the daily run stages."""
-    import hashlib
-
     batch = hashlib.md5(_BATCH.encode()).hexdigest()
     return READINGS.stage(fx.raw_readings(spark, sf), batch)
 
@@ -577,9 +583,8 @@ def fact(spark, sf) -> DataFrame:
     )
 
 
-def with_ids(rows: DataFrame, spark, sf) -> DataFrame:
+def with_ids(rows: DataFrame, meters: DataFrame, customers: DataFrame, locations: DataFrame) -> DataFrame:
     """Replace surrogate keys by the natural ids they stand for."""
-    meters, customers, locations = star(spark, sf)
     ids = {
         "meter_key": meters.select("meter_key", "meter_id"),
         "customer_key": customers.select("customer_key", "customer_id"),
@@ -597,7 +602,7 @@ _FACT_COLS = """meter_id, customer_id, location_id, date_key, time_key, consumpt
 
 @register("fact_consumption", o.sql(f"SELECT {_FACT_COLS} FROM fact", *o.FACT_CHAIN))
 def fact_consumption(spark, sf):
-    return with_ids(fact(spark, sf), spark, sf)
+    return with_ids(fact(spark, sf), *star(spark, sf))
 
 
 @register(
@@ -641,7 +646,7 @@ def fact_upsert(spark, sf):
     stored = rows.filter(F.col("_stg_id") % 4 == 0).withColumns(
         {"customer_key": F.lit(1), "cost_usd": F.lit(None).cast("decimal(10,2)"), "is_weekend": F.lit(False)}
     )
-    return with_ids(upsert_fact(stored, rows), spark, sf)
+    return with_ids(upsert_fact(stored, rows), *star(spark, sf))
 
 
 # --- batch bookkeeping ----------------------------------------------------
@@ -655,7 +660,7 @@ def _file_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy("_source_file", "_batch_id").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _even_day() -> F.Column:
+def _even_day() -> Column:
     return F.substring("_source_file", 18, 2).cast("int") % 2 == 0
 
 
@@ -723,8 +728,6 @@ def load_metrics(spark, sf):
     ),
 )
 def load_summary_query(spark, sf):
-    from gridloom.plans.ledger import load_summary
-
     return load_summary(load_metrics(spark, sf))
 
 
@@ -963,7 +966,7 @@ _SUMS = "CAST(sum(consumption_kwh) AS DECIMAL(24,4)) AS total_kwh, CAST(sum(cost
     ),
 )
 def daily_customer_summary(spark, sf):
-    return with_ids(marts.daily_customer_summary(fact(spark, sf)), spark, sf)
+    return with_ids(marts.daily_customer_summary(fact(spark, sf)), *star(spark, sf))
 
 
 @register(
@@ -1015,7 +1018,7 @@ def regional_rollup(spark, sf):
     ),
 )
 def meter_series(spark, sf):
-    return with_ids(marts.meter_series(fact(spark, sf)), spark, sf)
+    return with_ids(marts.meter_series(fact(spark, sf)), *star(spark, sf))
 
 
 @register(
@@ -1051,3 +1054,190 @@ def weather_bands(spark, sf):
 )
 def weather_correlation(spark, sf):
     return marts.weather_correlation(fact(spark, sf))
+
+
+# --- files, warehouse and stream -------------------------------------------
+
+# A blank CSV field is read as '', so NULLs of the projections arrive blank.
+_CSV_READINGS = o.RAW_READINGS.replace("raw_readings AS (", "readings_src AS (") + """,
+raw_readings AS (SELECT * REPLACE (coalesce(consumption_kwh, '') AS consumption_kwh) FROM readings_src)"""
+_CSV_WEATHER = o.RAW_WEATHER.replace("raw_weather AS (", "weather_src AS (") + """,
+raw_weather AS (SELECT * REPLACE (coalesce(humidity_pct, '') AS humidity_pct) FROM weather_src)"""
+_LANDED_FACT = tuple(
+    {o.RAW_READINGS: _CSV_READINGS, o.RAW_WEATHER: _CSV_WEATHER}.get(part, part) for part in o.FACT_CHAIN
+)
+_NATURAL_FACT = """SELECT meter_id, customer_id, location_id, date_key, time_key, consumption_kwh, cost_usd,
+  peak_demand_kw, temperature_c, is_peak_hour, is_weekend FROM fact"""
+
+
+def _landing(spark, sf, *kinds: str) -> str:
+    """A new landing folder with the wanted kinds of files, derived from the given tables."""
+    root = scratch_dir(spark, "landing")
+    if "reference" in kinds:
+        fx.write_reference(fx.raw_customers(spark, sf), root, "customers.csv", "customer_id")
+        fx.write_reference(fx.raw_locations(spark, sf), root, "locations.csv", "location_id")
+        fx.write_reference(fx.raw_meters(spark, sf), root, "meters.csv", "meter_id")
+    if "readings" in kinds:
+        fx.write_landed(fx.raw_readings(spark, sf), f"{root}/meter_readings")
+    if "weather" in kinds:
+        fx.write_landed(fx.raw_weather(spark, sf), root)
+    if "telemetry" in kinds:
+        fx.write_landed(fx.raw_telemetry(spark, sf), root, "json")
+    return root
+
+
+def _new_warehouse(spark) -> Warehouse:
+    return Warehouse(spark, scratch_dir(spark, "warehouse"))
+
+
+def _base_name() -> Column:
+    """The file's name without the piece number a large day would have."""
+    return F.regexp_replace("_source_file", r"\.part\d+", "").alias("_source_file")
+
+
+@register(
+    "csv_ingest",
+    o.sql(
+        "SELECT meter_id, reading_timestamp, consumption_kwh, unit, _source_file FROM raw_readings", _CSV_READINGS
+    ),
+)
+def csv_ingest(spark, sf):
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "readings")
+    ingest_files(wh, METER_FILES, f"{landing}/meter_readings", fx.SECOND_RUN)
+    return wh.read(RAW_READINGS).select(
+        "meter_id", "reading_timestamp", "consumption_kwh", "unit", _base_name()
+    )
+
+
+@register(
+    "weather_ingest",
+    o.sql(
+        """SELECT location_id, observation_time, temperature_c, humidity_pct, wind_speed_ms, cloud_cover_pct,
+        precipitation_mm, _source_file FROM raw_weather""",
+        _CSV_WEATHER,
+    ),
+)
+def weather_ingest(spark, sf):
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "weather")
+    ingest_files(wh, WEATHER_FILES, landing, fx.SECOND_RUN)
+    return wh.read(RAW_WEATHER).select(*WEATHER_FILES.fields, _base_name())
+
+
+@register(
+    "json_ingest",
+    o.sql(
+        """SELECT equipment_id, sensor_type, reading_timestamp, sensor_value, unit, _source_file
+        FROM raw_telemetry""",
+        o.RAW_TELEMETRY,
+    ),
+)
+def json_ingest(spark, sf):
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "telemetry")
+    ingest_files(wh, TELEMETRY_FILES, landing, fx.SECOND_RUN)
+    return wh.read(RAW_TELEMETRY).select(*TELEMETRY_FILES.fields, _base_name())
+
+
+@register(
+    "directory_ingest",
+    o.sql(
+        """SELECT CASE WHEN CAST(substring(_source_file, 18, 2) AS INTEGER) < 10 THEN 'skipped' ELSE 'success' END
+          AS status, _source_file AS file,
+          CAST(sum(CASE WHEN CAST(substring(_source_file, 18, 2) AS INTEGER) < 10 THEN 0 ELSE 1 END) AS BIGINT)
+            AS rows_inserted,
+          CAST(sum(CASE WHEN CAST(substring(_source_file, 18, 2) AS INTEGER) < 10 THEN 1 END) AS BIGINT)
+            AS existing_rows
+        FROM raw_readings GROUP BY _source_file""",
+        o.RAW_READINGS,
+    ),
+)
+def directory_ingest(spark, sf):
+    """The first days are loaded before; loading the whole folder then skips them."""
+    wh, folder = _new_warehouse(spark), f"{_landing(spark, sf, 'readings')}/meter_readings"
+    ingest_files(wh, METER_FILES, folder, fx.FIRST_RUN, "readings_????-??-0*.csv")
+    metrics = ingest_files(wh, METER_FILES, folder, fx.SECOND_RUN)
+    name = F.regexp_replace("file", r"\.part\d+", "").alias("file")
+    return metrics.groupBy("status", name).agg(
+        F.sum("rows_inserted").alias("rows_inserted"), F.sum("existing_rows").alias("existing_rows")
+    )
+
+
+@register(
+    "reference_ingest",
+    o.sql(
+        """SELECT coalesce(b.customer_id, a.customer_id) AS customer_id,
+          CASE WHEN b.customer_id IS NULL THEN a.customer_name ELSE b.customer_name END AS customer_name,
+          CASE WHEN b.customer_id IS NULL THEN a.tariff_type ELSE b.tariff_type END AS tariff_type,
+          CASE WHEN b.customer_id IS NULL THEN a.signup_date ELSE b.signup_date END AS signup_date,
+          CASE WHEN b.customer_id IS NULL THEN a.status ELSE coalesce(b.status, '') END AS status
+        FROM first_snapshot a FULL JOIN second_snapshot b ON a.customer_id = b.customer_id""",
+        o.RAW_CUSTOMERS, o.SNAPSHOTS,
+    ),
+)
+def reference_ingest(spark, sf):
+    """Two deliveries of customers.csv; the second updates, adds, and removes nothing."""
+    wh = _new_warehouse(spark)
+    for rows, run_ts in ((fx.first_snapshot, fx.FIRST_RUN), (fx.second_snapshot, fx.SECOND_RUN)):
+        landing = scratch_dir(spark, "landing")
+        fx.write_reference(rows(spark, sf), landing, "customers.csv", "customer_id")
+        ingest_reference(wh, landing, run_ts)
+    return wh.read(RAW_CUSTOMERS).drop("_loaded_at")
+
+
+@register(
+    "reference_meters",
+    o.sql(
+        """SELECT meter_id, customer_id, meter_type, install_date, coalesce(location_id, '') AS location_id, status
+        FROM raw_meters WHERE customer_id IS NOT NULL""",
+        o.RAW_METERS,
+    ),
+)
+def reference_meters(spark, sf):
+    """All three files; meters with a blank customer refer to nobody and are quarantined."""
+    wh = _new_warehouse(spark)
+    ingest_reference(wh, _landing(spark, sf, "reference"), fx.FIRST_RUN)
+    return wh.read(RAW_METERS).drop("_loaded_at")
+
+
+@register("reference_locations", o.sql("SELECT * FROM raw_locations", o.RAW_LOCATIONS))
+def reference_locations(spark, sf):
+    wh = _new_warehouse(spark)
+    ingest_reference(wh, _landing(spark, sf, "reference"), fx.FIRST_RUN)
+    return wh.read(RAW_LOCATIONS).drop("_loaded_at")
+
+
+def _warehouse_fact(wh: Warehouse) -> DataFrame:
+    rows = wh.read(FACT_CONSUMPTION).drop("consumption_id", "_stg_id", "_loaded_at")
+    return with_ids(rows, wh.read(DIM_METER), wh.read(DIM_CUSTOMER), wh.read(DIM_LOCATION))
+
+
+@register("run_day", o.sql(f"{_NATURAL_FACT} WHERE date_key = 20240115", *_LANDED_FACT))
+def run_day_query(spark, sf):
+    """One daily run, from files to fact, run twice: the repetition changes nothing."""
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "reference", "readings", "weather", "telemetry")
+    for run_ts in (datetime(2024, 1, 16), datetime(2024, 1, 17)):
+        run_day(wh, landing, date(2024, 1, 15), run_ts)
+    return _warehouse_fact(wh)
+
+
+@register("backfill", o.sql(_NATURAL_FACT, *_LANDED_FACT))
+def backfill_query(spark, sf):
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "reference", "readings", "weather")
+    span = fx.table(spark, sf, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    backfill(wh, landing, span.lo.date(), span.hi.date(), fx.SECOND_RUN)
+    return _warehouse_fact(wh)
+
+
+@register(
+    "stream_ingest",
+    o.sql(
+        "SELECT meter_id, reading_timestamp, consumption_kwh, reading_date, reading_hour FROM staged",
+        _CSV_READINGS, o.STAGED,
+    ),
+)
+def stream_ingest(spark, sf):
+    """Two calls on the same folder: the second finds nothing new."""
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "readings")
+    checkpoint = scratch_dir(spark, "stream")
+    for _ in range(2):
+        incremental_ingest(wh, METER_FEED, f"{landing}/meter_readings", checkpoint, lambda: fx.SECOND_RUN)
+    return wh.read(STG_READINGS).select(*READINGS.columns)

@@ -118,8 +118,10 @@ def read_reference(
     rows = read_landed(wh.spark, [path], landing).withColumns(
         {
             **{name: blank_to_null(F.col(name)) for name in typed},
-            "id": F.monotonically_increasing_id(),
-            "_batch_id": batch_id(landing.source_table, F.concat_ws("@", "_source_file", F.lit(str(run_ts)))),
+            # Named by content: a bad row that is delivered again every day is quarantined once.
+            "id": F.xxhash64(*landing.fields),
+            "_row": F.monotonically_increasing_id(),
+            "_batch_id": batch_id(landing.source_table, F.col("_source_file")),
         }
     )
     rules = [
@@ -133,13 +135,8 @@ def read_reference(
     return valid.withColumns(casts), rejected
 
 
-def _quarantine(wh: Warehouse, rejected: DataFrame, source_table: str) -> None:
-    within = F.col("source_table") == source_table
-    wh.insert_if_absent(DQ_QUARANTINE, rejected, within)
-
-
 def _merge_reference(wh: Warehouse, table: Table, rows: DataFrame, run_ts: datetime) -> None:
-    latest = keep_latest(rows, table.keys, ["_file_pos", "id"]).withColumn(
+    latest = keep_latest(rows, table.keys, ["_file_pos", "_row"]).withColumn(
         "_loaded_at", F.lit(run_ts).cast("timestamp_ntz")
     )
     wh.replace(table, merge_upsert(wh.read(table), latest, table.keys))
@@ -177,7 +174,8 @@ def ingest_reference(wh: Warehouse, directory: str, run_ts: datetime, strict: bo
                 )[1]
             )
             rows = owned.filter(~is_orphan).drop("_owner")
-        _quarantine(wh, rejected, landing.source_table)
+        within = F.col("source_table") == landing.source_table
+        wh.insert_if_absent(DQ_QUARANTINE, rejected.dropDuplicates(DQ_QUARANTINE.keys), within)
         _merge_reference(wh, table, rows, run_ts)
         seconds = round(time.monotonic() - started, 2)
         metrics.append(("success", None, landing.pattern, None, rows.count(), wh.read(table).count(), None, seconds))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -129,17 +130,29 @@ def refresh_fact(
     wh.upsert(FACT_CONSUMPTION, rows, keys, (*FACT_UPDATE_COLS, "_loaded_at"))
 
 
-def weather_files(days: Sequence[str], listed: set[str]) -> list[str]:
-    """Each day's own file, else the shared one, in day order without repeats."""
-    chosen = []
+def day_files(prefix: str, ds: str, suffix: str, listed: Sequence[str]) -> list[str]:
+    """``<prefix>_<ds>.<suffix>`` and, for a day delivered in pieces, ``<prefix>_<ds>.partN.<suffix>``."""
+    shape = re.compile(rf"{prefix}_{re.escape(ds)}(\.part\d+)?\.{suffix}")
+    return [name for name in listed if shape.fullmatch(name)]
+
+
+def weather_files(days: Sequence[str], listed: Sequence[str]) -> list[str]:
+    """Each day's own files, else the shared one, in day order without repeats."""
+    chosen: list[str] = []
     for ds in days:
-        own = f"weather_{ds}.csv"
-        name = own if own in listed else SHARED_WEATHER
-        if name in listed and name not in chosen:
-            chosen.append(name)
+        own = day_files("weather", ds, "csv", listed) or [n for n in listed if n == SHARED_WEATHER]
+        chosen += [name for name in own if name not in chosen]
     return chosen
 
 
+def _names(wh: Warehouse, directory: str) -> list[str]:
+    """File names in a folder, none when it does not exist."""
+    try:
+        return sorted(r.source_file for r in list_files(wh.spark, directory).select("source_file").collect())
+    except FileNotFoundError:
+        return []
+
+
 def run_days(
     wh: Warehouse, landing_dir: str, days: Sequence[date], run_ts: datetime, mode: str = "default"
 ) -> DataFrame:
@@ -150,32 +163,29 @@ def run_days(
     """
     spark = wh.spark
     texts = [d.isoformat() for d in days]
-    listed = {r.source_file for r in list_files(spark, landing_dir, "*").select("source_file").collect()}
+    readings_dir = f"{landing_dir}/meter_readings"
+    listed, readings = _names(wh, landing_dir), _names(wh, readings_dir)
     steps: list[tuple[str, str, int]] = []
 
     reference = ingest_reference(wh, landing_dir, run_ts).agg(F.sum("rows_read")).first()[0]
     steps.append(("ingest_reference", "success" if reference is not None else "skipped", reference or 0))
 
     plans = (
-        (METER_FEED, f"{landing_dir}/meter_readings", [f"readings_{t}.csv" for t in texts]),
+        (METER_FEED, readings_dir, [n for t in texts for n in day_files("readings", t, "csv", readings)]),
         (WEATHER_FEED, landing_dir, weather_files(texts, listed)),
-        (TELEMETRY_FEED, landing_dir, [f"telemetry_{t}.json" for t in texts]),
+        (TELEMETRY_FEED, landing_dir, [n for t in texts for n in day_files("telemetry", t, "json", listed)]),
     )
     staged: dict[str, tuple[list[str], list[date]]] = {}
     for feed, folder, names in plans:
         short = feed.target.name.split("/")[1]
-        try:
-            loaded = load_summary(ingest_files(wh, feed.landing, folder, run_ts, names=names)).first()
-            fresh, total = loaded.loaded > 0, loaded.total_rows
-        except FileNotFoundError:
-            fresh, total = False, 0
-        steps.append((f"ingest_{short[4:]}", "success" if fresh else "skipped", total))
-        found = batches_of(wh.read(LOAD_LEDGER), feed.stage.source_table, names)
-        batches = [found[n] for n in names if n in found]
-        if not batches:
-            steps.append((short, "skipped", 0))
+        if not names:
+            steps += [(f"ingest_{short[4:]}", "skipped", 0), (short, "skipped", 0)]
             staged[short] = ([], [])
             continue
+        loaded = load_summary(ingest_files(wh, feed.landing, folder, run_ts, "*", names)).first()
+        steps.append((f"ingest_{short[4:]}", "success" if loaded.loaded else "skipped", loaded.total_rows))
+        found = batches_of(wh.read(LOAD_LEDGER), feed.stage.source_table, names)
+        batches = [found[n] for n in names]
         touched = stage_batches(wh, feed, batches, run_ts, mode)
         part = feed.target.partition_by[0]
         count = wh.read(feed.target).filter(F.col(part).isin(touched) & F.col("_batch_id").isin(batches)).count()

@@ -6,6 +6,7 @@ that every rule has rows at every scale.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from decimal import Decimal
 from functools import lru_cache
@@ -280,3 +281,48 @@ def dim_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.substring("customer_id", 6, 20).cast("int") + 1).alias("customer_key"),
         (F.substring("location_id", 5, 20).cast("int") + 1).alias("location_key"),
     )
+
+
+# --- the same inputs as landed files ---------------------------------------
+
+ROWS_PER_TASK = 2_000_000
+
+
+def write_landed(rows: DataFrame, directory: str, file_format: str = "csv") -> None:
+    """Write ``rows`` as one file per ``_source_file``, in ``id`` order.
+
+    Tasks hold contiguous ranges, so a large day becomes several files whose names
+    sort in row order: ``x.csv``, ``x.part000001.csv`` and so on.
+    """
+    spark = rows.sparkSession
+    tasks = 1 + rows.count() // ROWS_PER_TASK
+    payload = [c for c in rows.columns if c not in ("id", "_loaded_at", "_batch_id")]
+    staging = f"{directory}.parts-{uuid.uuid4().hex}"
+    (
+        rows.repartitionByRange(tasks, "_source_file", "id")
+        .sortWithinPartitions("_source_file", "id")
+        .select(*payload)
+        .write.partitionBy("_source_file")
+        .options(header=True, emptyValue="")
+        .format(file_format)
+        .save(staging)
+    )
+    jvm = spark._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    fs = make(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(make(directory))
+    written = sorted(
+        (status.getPath().getParent().getName().split("=", 1)[1], status.getPath().toString())
+        for status in fs.globStatus(make(f"{staging}/_source_file=*/part-*"))
+    )
+    seen: dict[str, int] = {}
+    for name, path in written:
+        stem, suffix = name.rsplit(".", 1)
+        number = seen[name] = seen.get(name, -1) + 1
+        target = name if number == 0 else f"{stem}.part{number:06d}.{suffix}"
+        fs.rename(make(path), make(f"{directory}/{target}"))
+
+
+def write_reference(rows: DataFrame, directory: str, name: str, key: str) -> None:
+    """A reference file; these tables hold one row per customer, meter or place."""
+    write_landed(rows.withColumns({"id": F.col(key), "_source_file": F.lit(name)}), directory)
