@@ -146,33 +146,42 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- landed files ---------------------------------------------------------
 
 
-def _day_text() -> Column:
-    return F.substring(F.col("ts").cast("string"), 1, 10)
+@remembered
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the two conversions that most columns below start from."""
+    return landed(
+        table(spark, sf_dir, "events").select(
+            "event_id",
+            "user_id",
+            "event_type",
+            F.col("ts").cast("string").alias("ts_text"),
+            F.col("value").cast("decimal(12,4)").alias("amount"),
+        )
+    )
 
 
-def _quarter_hour_text(skip: Column) -> Column:
-    text = F.col("ts").cast("string")
-    minute = F.when(F.col("event_id") % 50 == 7, "07").otherwise(
-        padded((F.minute("ts") / 15).cast("int") * 15, 2)
-    )
-    return F.when(skip, "").otherwise(F.concat(F.substring(text, 1, 14), minute, F.lit(":00")))
+def _day_text() -> Column:
+    return F.substring("ts_text", 1, 10)
 
 
-def _amount() -> Column:
-    return F.col("value").cast("decimal(12,4)")
+def _quarter_hour_text(skip: Column) -> Column:
+    minute = F.substring("ts_text", 15, 2)
+    floored = F.when(minute < "15", "00").when(minute < "30", "15").when(minute < "45", "30").otherwise("45")
+    slot = F.when(F.col("event_id") % 50 == 7, "07").otherwise(floored)
+    return F.when(skip, "").otherwise(F.concat(F.substring("ts_text", 1, 14), slot, F.lit(":00")))
 
 
 def _lineage(prefix: str, suffix: str) -> list[Column]:
     name = F.concat(F.lit(prefix), _day_text(), F.lit(suffix))
-    loaded = F.date_add(F.to_date(F.col("ts")), 1).cast("timestamp_ntz")
+    loaded = F.date_add(_day_text().cast("date"), 1).cast("timestamp_ntz")
     return [name.alias("_source_file"), loaded.alias("_loaded_at"), F.md5(name).alias("_batch_id")]
 
 
 @remembered
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    defect, value = F.col("event_id") % 200, _amount()
+    defect, value = F.col("event_id") % 200, F.col("amount")
     text = value.cast("string")
-    rows = table(spark, sf_dir, "events").select(
+    rows = _events(spark, sf_dir).select(
         F.col("event_id").alias("id"),
         F.when(defect == 0, "").otherwise(F.concat(F.lit("MTR-"), padded(F.col("user_id"), 5))).alias("meter_id"),
         _quarter_hour_text(defect == 1).alias("reading_timestamp"),
@@ -193,15 +202,15 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @remembered
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event, value = F.col("event_id"), _amount()
-    hour = F.concat(F.substring(F.col("ts").cast("string"), 1, 13), F.lit(":00:00"))
+    event, value = F.col("event_id"), F.col("amount")
+    hour = F.concat(F.substring("ts_text", 1, 13), F.lit(":00:00"))
 
     def one_place(number: Column, to_type: str = "decimal(5,1)") -> Column:
         return number.cast(to_type).cast("string")
 
     celsius = value * F.lit(Decimal("0.05")) - F.lit(Decimal("3.0"))
     rows = (
-        table(spark, sf_dir, "events")
+        _events(spark, sf_dir)
         .filter(F.col("event_type").isin("view", "click"))
         .select(
             event.alias("id"),
@@ -225,14 +234,14 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 @remembered
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    rows = table(spark, sf_dir, "events").select(
+    rows = _events(spark, sf_dir).select(
         event.alias("id"),
         F.concat(F.lit("EQ-"), (F.col("user_id") % 40).cast("string")).alias("equipment_id"),
         F.col("event_type").alias("sensor_type"),
         _quarter_hour_text(event % 200 == 1).alias("reading_timestamp"),
         F.when(event % 150 == 0, "err")
         .when(event % 150 == 1, _text(None))
-        .otherwise(_amount().cast("string"))
+        .otherwise(F.col("amount").cast("string"))
         .alias("sensor_value"),
         F.when(event % 5 != 0, "kW").alias("unit"),
         *_lineage("telemetry_", ".json"),
