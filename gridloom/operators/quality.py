@@ -33,6 +33,10 @@ def not_blank(column: str, severity: str = "error") -> Check:
     return Check(f"not_blank_{column}", blank(column), severity, details=f"{column} is NULL or blank")
 
 
+def not_null(column: str, severity: str = "error") -> Check:
+    return Check(f"not_null_{column}", F.col(column).isNull(), severity, details=f"{column} is NULL")
+
+
 def in_range(column: str, low, high, severity: str = "warning") -> Check:
     outside = F.col(column).isNotNull() & ~F.col(column).between(low, high)
     return Check(f"range_{column}", outside, severity, details=f"{column} outside [{low}, {high}]")

@@ -23,17 +23,19 @@ def changed(old: str, new: str, tracked: Sequence[str]) -> Column:
 
 def scd2_expire(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], run_ts: datetime) -> DataFrame:
     """``dim`` with the current version of every changed key closed at ``run_ts``."""
-    closed = F.col("_hit").isNotNull() & F.col("d.is_current") & changed("d", "s", tracked)
-    joined = dim.alias("d").join(
+    # Closed versions, the bulk of a long history, pass by without a shuffle.
+    past, open_now = dim.filter(~F.col("is_current")), dim.filter("is_current")
+    joined = open_now.alias("d").join(
         source.select(key, *tracked).withColumn("_hit", F.lit(True)).alias("s"),
-        (F.col(f"d.{key}") == F.col(f"s.{key}")) & F.col("d.is_current"),
+        F.col(f"d.{key}") == F.col(f"s.{key}"),
         "left",
     )
+    closing = F.col("_hit").isNotNull() & changed("d", "s", tracked)
     replaced = {
-        "valid_to": F.when(closed, F.lit(run_ts).cast("timestamp_ntz")).otherwise(F.col("d.valid_to")),
-        "is_current": F.when(closed, F.lit(False)).otherwise(F.col("d.is_current")),
+        "valid_to": F.when(closing, F.lit(run_ts).cast("timestamp_ntz")).otherwise(F.col("d.valid_to")),
+        "is_current": ~closing,
     }
-    return joined.select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in dim.columns])
+    return past.unionByName(joined.select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in dim.columns]))
 
 
 def scd2_merge(

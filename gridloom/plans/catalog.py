@@ -17,13 +17,15 @@ from gridloom.operators import marts, quality, scd2
 from gridloom.operators.calendar import build_dim_date, build_dim_time
 from gridloom.operators.dims import TRACKED, build_dim_meter, merge_dim_customer, upsert_dim_location
 from gridloom.operators.fact import build_fact_consumption, hourly_weather, meter_profile, upsert_fact
-from gridloom.operators.merge import absent_rows, insert_if_absent, merge_upsert, orphan_rows
+from gridloom.operators.merge import (
+    absent_rows, duplicate_keys, insert_if_absent, merge_upsert, null_violations, orphan_rows,
+)
 from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER
 from gridloom.operators.surrogate import assign_keys
 from gridloom.plans import oracle_parts as o
 from gridloom.plans.ingest import ingest_files, ingest_reference
 from gridloom.plans.ledger import load_summary
-from gridloom.plans.pipeline import METER_FEED, backfill, run_day
+from gridloom.plans.pipeline import METER_FEED, TELEMETRY_FEED, WEATHER_FEED, backfill, run_day
 from gridloom.schemas import (
     DIM_CUSTOMER, DIM_LOCATION, DIM_METER, FACT_CONSUMPTION, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS,
     RAW_READINGS, RAW_TELEMETRY, RAW_WEATHER, STG_READINGS,
@@ -375,6 +377,28 @@ def upsert_readings(spark, sf):
     )
 
 
+def _register_upsert(name, feed, part, cte, table, rows, mode):
+    """Half of the staged rows is stored with stale values; the update refreshes them and adds the rest."""
+    keys, kept = feed.stage.keys, [c for c in feed.stage.columns if c not in feed.update_cols]
+    refreshed = [c for c in feed.update_cols if c != "_loaded_at"]
+    measure = next(c for c in feed.update_cols if c in feed.stage.columns)
+    columns = ", ".join(f"u.{c}" for c in (*kept, *refreshed))
+
+    @register(name, o.sql(f"SELECT {columns} FROM {table} u", part, cte))
+    def run(spark, sf):
+        fresh = feed.stage.stage(rows(spark, sf), mode=mode)
+        stored = fresh.filter(F.col("_raw_id") % 2 == 0).withColumns(
+            {measure: F.lit(None).cast(fresh.schema[measure].dataType), "_batch_id": F.lit("old")}
+        )
+        return merge_upsert(stored, fresh, keys, refreshed)
+
+
+_register_upsert("upsert_weather", WEATHER_FEED, o.RAW_WEATHER, o.STAGED_WEATHER, "staged_weather",
+                 fx.raw_weather, "default")
+_register_upsert("upsert_telemetry", TELEMETRY_FEED, o.RAW_TELEMETRY, o.STAGED_TELEMETRY, "staged_telemetry",
+                 fx.raw_telemetry, "reference")
+
+
 @register(
     "insert_if_absent",
     o.sql(
@@ -765,6 +789,31 @@ def dq_duplicates(spark, sf):
     return quality.surplus_rows(fx.raw_readings(spark, sf), ["meter_id", "reading_timestamp"])
 
 
+@register(
+    "constraint_nulls",
+    o.sql(
+        """SELECT count(*) FILTER (WHERE meter_id IS NULL) AS meter_id,
+        count(*) FILTER (WHERE reading_timestamp IS NULL) AS reading_timestamp,
+        count(*) FILTER (WHERE consumption_kwh IS NULL) AS consumption_kwh FROM raw_readings""",
+        o.RAW_READINGS,
+    ),
+)
+def constraint_nulls(spark, sf):
+    return null_violations(fx.raw_readings(spark, sf), ["meter_id", "reading_timestamp", "consumption_kwh"])
+
+
+@register(
+    "constraint_duplicates",
+    o.sql(
+        """SELECT meter_id, reading_timestamp, count(*) AS copies FROM raw_readings
+        GROUP BY meter_id, reading_timestamp HAVING count(*) > 1""",
+        o.RAW_READINGS,
+    ),
+)
+def constraint_duplicates(spark, sf):
+    return duplicate_keys(fx.raw_readings(spark, sf), ["meter_id", "reading_timestamp"])
+
+
 _CHECKS_SQL = """SELECT '{name}' AS check_name, 'staging.stg_meter_readings' AS table_name,
   DATE '2024-02-01' AS execution_date, count(*) FILTER (WHERE {bad}) <= {allowed} AS passed,
   count(*) FILTER (WHERE {bad}) AS failed_count, count(*) AS total_count, '{severity}' AS severity,

@@ -147,10 +147,13 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @remembered
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the two conversions that most columns below start from."""
+def _events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """Events (of some kinds) with the two conversions that most columns below start from."""
+    events = table(spark, sf_dir, "events")
+    if kinds:
+        events = events.filter(F.col("event_type").isin(*kinds))
     return landed(
-        table(spark, sf_dir, "events").select(
+        events.select(
             "event_id",
             "user_id",
             "event_type",
@@ -210,8 +213,7 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     celsius = value * F.lit(Decimal("0.05")) - F.lit(Decimal("3.0"))
     rows = (
-        _events(spark, sf_dir)
-        .filter(F.col("event_type").isin("view", "click"))
+        _events(spark, sf_dir, "view", "click")
         .select(
             event.alias("id"),
             F.concat(F.lit("LOC-"), padded(F.col("user_id") % 25, 3)).alias("location_id"),
