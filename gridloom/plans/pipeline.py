@@ -278,4 +278,4 @@ def resolve(wh: Warehouse, source_table: str, batch_ids: Sequence[str], conditio
     rows = wh.read(DQ_QUARANTINE).filter(
         (F.col("source_table") == source_table) & F.col("_batch_id").isin(list(batch_ids))
     )
-    wh.overwrite_partitions(DQ_QUARANTINE, quality.resolve_quarantine(rows, condition, note, at))
+    wh.swap_partitions(DQ_QUARANTINE, quality.resolve_quarantine(rows, condition, note, at))

@@ -1,8 +1,10 @@
 """Parquet tables of the four layers below one root folder.
 
-Three ways of writing, all with Spark's own commit protocol:
+Three ways of writing, all on Spark's own commit protocol:
 
-* partitioned tables replace only the partitions present in the written rows;
+* partitioned tables replace only the partitions present in the written rows; a merge
+  writes them beside the table first and then swaps folders, and a swap that was cut
+  off is finished before the next merge;
 * versioned tables (dimensions, reference data) are written whole into a new folder,
   and readers take the newest finished one, so a failed write is never seen;
 * the ledger is append-only.
@@ -55,6 +57,35 @@ class Warehouse:
         writer = self._writer(table, rows).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(table))
 
+    def swap_partitions(self, table: Table, rows: DataFrame) -> None:
+        """Like :meth:`overwrite_partitions`, for rows that derive from the table itself.
+
+        The stored partitions stay in place until their replacements are complete.
+        """
+        writer = self._writer(table, rows).mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.parquet(self._pending(table))  # a static overwrite ends with the _SUCCESS mark
+        self._finish_swap(table)
+
+    def _pending(self, table: Table) -> str:
+        return f"{self.path(table)}.pending"
+
+    def _finish_swap(self, table: Table) -> None:
+        """Move finished partitions into the table; safe to repeat from any point."""
+        pending = self._pending(table)
+        if not self._exists(f"{pending}/_SUCCESS"):
+            return
+        depth = len(table.partition_by)
+        fs, pattern = self._fs(pending + "".join(f"/{name}=*" for name in table.partition_by))
+        for status in fs.globStatus(pattern) or []:
+            source = status.getPath()
+            inner = "/".join(source.toString().split("/")[-depth:])
+            _, target = self._fs(f"{self.path(table)}/{inner}")
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"could not move {source.toString()} to {target.toString()}")
+        fs.delete(self._fs(pending)[1], True)
+
     def replace(self, table: Table, rows: DataFrame) -> None:
         versions = self._versions(table)
         number = versions[-1] + 1 if versions else 1
@@ -80,12 +111,13 @@ class Warehouse:
         """
         if not touched:
             return
+        self._finish_swap(table)
         part = table.partition_by[0]
         current = self.read(table).filter(F.col(part).isin(list(touched)))
         merged = merge_upsert(current, updates, table.keys, update_cols)
         if len(touched) > 1:
             merged = merged.hint("rebalance", part)
-        self.overwrite_partitions(table, merged)
+        self.swap_partitions(table, merged)
 
     def insert_if_absent(self, table: Table, rows: DataFrame, within: Column) -> None:
         """Append rows with new keys; ``within`` limits the stored partitions to compare with."""

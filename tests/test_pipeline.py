@@ -236,6 +236,23 @@ def test_upsert_rewrites_only_touched_partitions(wh, landing):
     assert wh.read(STG_READINGS).count() == 4
 
 
+def test_interrupted_swap_is_finished_by_the_next_merge(wh, landing, monkeypatch):
+    """A driver lost between writing the new partitions and moving them loses no rows."""
+    readings(landing)
+    ingest(wh, landing)
+    first, second = (r.batch_id for r in wh.read(LOAD_LEDGER).orderBy("source_file").collect())
+    stage_batches(wh, METER_FEED, [first], RUN)
+    monkeypatch.setattr(Warehouse, "_finish_swap", lambda self, table: None)
+    stage_batches(wh, METER_FEED, [second], RUN)
+    monkeypatch.undo()
+    before = wh.read(STG_READINGS).count()
+    fs, folder = wh._fs(f"{wh.path(STG_READINGS)}/reading_date=2024-01-15")
+    fs.delete(folder, True)  # the worst moment: old partition gone, new one not yet moved
+    stage_batches(wh, METER_FEED, [second], RUN)
+    assert wh.read(STG_READINGS).count() == before + 1
+    assert not wh._exists(wh._pending(STG_READINGS))
+
+
 def test_versions_are_kept_until_replaced(wh):
     one = wh.spark.createDataFrame([("L1", "a", "c", "r", "UK", None, None, "z", RUN)], RAW_LOCATIONS.ddl)
     for n in range(4):
