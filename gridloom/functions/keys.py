@@ -1,4 +1,4 @@
-"""Integer calendar keys and batch identifiers.
+"""Integer calendar keys, timestamp literals and batch identifiers.
 
 Built from date parts rather than formatted text: integer arithmetic stays in
 generated code and does not depend on the session time zone.
@@ -6,10 +6,17 @@ generated code and does not depend on the session time zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def instant(moment: datetime | None) -> Column:
+    """A zone-free timestamp literal. ``lit(datetime)`` would shift with the session time zone."""
+    return F.lit(None if moment is None else moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 

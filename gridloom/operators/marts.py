@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.functions.keys import instant
+
 KWH_SUM, USD_SUM = "decimal(24,4)", "decimal(24,2)"
 
 
@@ -133,7 +135,7 @@ def weather_correlation(fact: DataFrame) -> DataFrame:
 
 def customer_at(dim_customer: DataFrame, moment: datetime) -> DataFrame:
     """The dimension as it stood at ``moment``."""
-    at = F.lit(moment).cast("timestamp_ntz")
+    at = instant(moment)
     return dim_customer.filter(
         (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
     )

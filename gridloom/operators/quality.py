@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.keys import instant
 from gridloom.functions.text import strip
 from gridloom.operators.merge import duplicate_keys
 from gridloom.operators.quantiles import group_quantiles
@@ -183,7 +184,7 @@ def resolve_quarantine(
     return quarantine.withColumns(
         {
             "resolved": F.col("resolved") | hit,
-            "resolved_at": F.when(hit, F.lit(resolved_at).cast("timestamp_ntz")).otherwise(F.col("resolved_at")),
+            "resolved_at": F.when(hit, instant(resolved_at)).otherwise(F.col("resolved_at")),
             "resolution_note": F.when(hit, F.lit(note)).otherwise(F.col("resolution_note")),
         }
     )

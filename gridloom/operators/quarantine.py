@@ -9,6 +9,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.keys import instant
+
 REASON = "_reason"
 
 
@@ -60,7 +62,7 @@ def validate_and_quarantine(
         F.col(id_col).cast("bigint").alias("source_id"),
         F.col(REASON).alias("reason"),
         json_snapshot(snapshot_cols).alias("raw_data"),
-        F.lit(quarantined_at).cast("timestamp_ntz").alias("quarantined_at"),
+        instant(quarantined_at).alias("quarantined_at"),
         F.lit(False).alias("resolved"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
         F.lit(None).cast("string").alias("resolution_note"),

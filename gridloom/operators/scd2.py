@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.keys import instant
 from gridloom.operators.surrogate import assign_keys
 
 POLICIES = ("contiguous", "reference")
@@ -32,7 +33,7 @@ def scd2_expire(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[s
     )
     closing = F.col("_hit").isNotNull() & changed("d", "s", tracked)
     replaced = {
-        "valid_to": F.when(closing, F.lit(run_ts).cast("timestamp_ntz")).otherwise(F.col("d.valid_to")),
+        "valid_to": F.when(closing, instant(run_ts)).otherwise(F.col("d.valid_to")),
         "is_current": ~closing,
     }
     return past.unionByName(joined.select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in dim.columns]))
@@ -58,7 +59,7 @@ def scd2_merge(
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = instant(run_ts)
     expired = scd2_expire(dim, source, key, tracked, run_ts)
     incoming = source.withColumns(
         {**derived, "_starts": F.coalesce(valid_from.cast("timestamp_ntz"), now)}

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.keys import batch_id
+from gridloom.functions.keys import batch_id, instant
 from gridloom.functions.text import blank_to_null
 from gridloom.operators.latest import keep_latest
 from gridloom.operators.merge import ConstraintError, merge_upsert
@@ -70,7 +70,7 @@ def ingest_files(
         rows = read_landed(spark, [r.path for r in pending], landing, multi_line).withColumns(
             {
                 "id": F.monotonically_increasing_id() + first_id,
-                "_loaded_at": F.lit(run_ts).cast("timestamp_ntz"),
+                "_loaded_at": instant(run_ts),
                 "_batch_id": batch_id(source, F.col("_source_file")),
             }
         )
@@ -137,7 +137,7 @@ def read_reference(
 
 def _merge_reference(wh: Warehouse, table: Table, rows: DataFrame, run_ts: datetime) -> None:
     latest = keep_latest(rows, table.keys, ["_file_pos", "_row"]).withColumn(
-        "_loaded_at", F.lit(run_ts).cast("timestamp_ntz")
+        "_loaded_at", instant(run_ts)
     )
     wh.replace(table, merge_upsert(wh.read(table), latest, table.keys))
 

@@ -11,7 +11,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.keys import date_key
+from gridloom.functions.keys import date_key, instant
 from gridloom.operators import quality
 from gridloom.operators.calendar import build_dim_date, build_dim_time
 from gridloom.operators.dims import build_dim_meter, merge_dim_customer, upsert_dim_location
@@ -85,7 +85,7 @@ def stage_batches(
     updates = feed.stage.stage(raw, batch_ids, mode).withColumns(
         {
             feed.surrogate: F.col("_raw_id"),
-            "_loaded_at": F.lit(run_ts).cast("timestamp_ntz"),
+            "_loaded_at": instant(run_ts),
             day: F.to_date(feed.moment),
         }
     )
@@ -124,7 +124,7 @@ def refresh_fact(
     rows = build_fact_consumption(
         stg, profile, wh.read(DIM_DATE), wh.read(DIM_TIME), weather, list(batch_ids), stg_id="meter_reading_id"
     ).withColumns(
-        {"consumption_id": F.col("_stg_id"), "_loaded_at": F.lit(run_ts).cast("timestamp_ntz")}
+        {"consumption_id": F.col("_stg_id"), "_loaded_at": instant(run_ts)}
     )
     keys = [int(d.strftime("%Y%m%d")) for d in days]
     wh.upsert(FACT_CONSUMPTION, rows, keys, (*FACT_UPDATE_COLS, "_loaded_at"))
@@ -252,7 +252,7 @@ def log_checks(
             outcome = result.collect()  # one row per check
             elapsed = int((time.monotonic() - started) * 1000)
             logged = wh.spark.createDataFrame(outcome, result.schema).withColumns(
-                {"execution_time_ms": F.lit(elapsed), "created_at": F.lit(run_ts).cast("timestamp_ntz")}
+                {"execution_time_ms": F.lit(elapsed), "created_at": instant(run_ts)}
             )
             wh.append(DQ_CHECK_RESULTS, logged)
     return wh.read(DQ_CHECK_RESULTS).filter(F.col("execution_date") == F.lit(execution_date))
@@ -267,7 +267,7 @@ def log_metrics(wh: Warehouse, execution_date: date, run_ts: datetime) -> DataFr
         "total_cost_usd": F.coalesce(F.sum("cost_usd"), F.lit(0)),
     }
     rows = quality.metric_rows(fact, metrics, "fact_consumption", execution_date).withColumns(
-        {"details": F.lit(None).cast("string"), "created_at": F.lit(run_ts).cast("timestamp_ntz")}
+        {"details": F.lit(None).cast("string"), "created_at": instant(run_ts)}
     )
     wh.append(DQ_PIPELINE_METRICS, rows)
     return wh.read(DQ_PIPELINE_METRICS).filter(F.col("execution_date") == F.lit(execution_date))

@@ -14,6 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.keys import instant
 from gridloom.functions.tariff import customer_segment
 from gridloom.schemas import DIM_CUSTOMER
 
@@ -256,7 +257,7 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @remembered
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    opened = F.coalesce(F.col("signup_date").cast("timestamp_ntz"), F.lit(FIRST_RUN).cast("timestamp_ntz"))
+    opened = F.coalesce(F.col("signup_date").cast("timestamp_ntz"), instant(FIRST_RUN))
     return raw_customers(spark, sf_dir).select(
         (_custkey() + 1).cast("int").alias("customer_key"),
         "customer_id",
