@@ -55,8 +55,10 @@ def build_fact_consumption(
 ) -> DataFrame:
     """One row per (meter, day, quarter-hour slot).
 
-    Joins carry no broadcast hints: Spark broadcasts a side whose size is known to
-    be under the session's threshold and otherwise shuffles, with skew splitting.
+    Only the calendar carries broadcast hints: it holds one row per day and one per slot
+    of a day, and its few keys would make a hopeless shuffle. Every other side is
+    broadcast when Spark finds it under the session's threshold and shuffled with skew
+    splitting when not.
     The closing aggregate keeps the last reading of a slot. Its output is already
     partitioned on the fact's grain, so a following merge does not shuffle it again.
     """
@@ -73,7 +75,9 @@ def build_fact_consumption(
     )
     days = dim_date.select("date_key", "is_weekend")
     slots = dim_time.select("time_key", F.col("is_peak").alias("is_peak_hour"))
-    joined = readings.join(profile, "meter_id").join(days, "date_key").join(slots, "time_key")
+    # The calendar first: it drops rows off the grid before any side can be shuffled.
+    placed = readings.join(F.broadcast(days), "date_key").join(F.broadcast(slots), "time_key")
+    joined = placed.join(profile, "meter_id")
     if weather is None:
         joined = joined.withColumn("temperature_c", F.lit(None).cast("decimal(5,1)"))
     else:

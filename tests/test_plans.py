@@ -37,6 +37,7 @@ def test_merge_of_a_built_fact_does_not_shuffle_it_again(spark):
         text = plan(upsert_fact(stored, rows))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(date_key" not in text and "hashpartitioning(time_key" not in text
     below = text[text.index("FullOuter"):].splitlines()[1:]
     nodes = [line.split("- ")[-1].split("(")[0].split(" ")[0] for line in below]
     assert "Exchange" not in nodes[: nodes.index("HashAggregate")]
