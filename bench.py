@@ -50,8 +50,8 @@ def main() -> None:
         seconds[name] = round(statistics.median(timed(spark, name, sf_dir) for _ in range(RUNS)), 3)
     spark.stop()
     total = round(sum(seconds.values()), 3)
-    scale = Path(sf_dir).name.removeprefix("sf")
-    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))
+    result = {"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds}
+    print(json.dumps({**result, "sf": float(Path(sf_dir).name.removeprefix("sf"))}))
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import strip
@@ -97,6 +97,13 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataF
     return found.select(F.substring_index("path", "/", -1).alias("source_file"), "path")
 
 
+def _base_name() -> Column:
+    """The file's plain base name; Spark's metadata column shows special characters encoded."""
+    shown = F.col("_metadata.file_name")
+    decoded = F.url_decode(F.replace(shown, F.lit("+"), F.lit("%2B")))
+    return F.when(shown.contains("%"), decoded).otherwise(shown).alias("_source_file")
+
+
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     jvm = spark._jvm
     file = jvm.org.apache.hadoop.fs.Path(path)
@@ -155,7 +162,7 @@ def _read_csv_group(
 
     return rows.select(
         *[value(name, default) for name, default in landing.fields.items()],
-        F.col("_metadata.file_name").alias("_source_file"),
+        _base_name(),
         F.col("_metadata.file_block_start").alias("_file_pos"),
     )
 
@@ -174,7 +181,7 @@ def read_landed(
         parts = [
             spark.read.schema(schema).json(paths).select(
                 *landing.fields,
-                F.col("_metadata.file_name").alias("_source_file"),
+                _base_name(),
                 F.col("_metadata.file_block_start").alias("_file_pos"),
             )
         ] if paths else []

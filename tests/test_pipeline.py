@@ -67,6 +67,14 @@ def test_columns_are_matched_by_name(wh, landing):
         ("M3", "2024-01-17", "3", "kWh", "readings_3.csv")]
 
 
+def test_unusual_file_names(wh, landing):
+    names = ["readings_a b.csv", "readings_c+d.csv", "readings_é%20+.csv"]
+    for name in names:
+        landing(f"meter_readings/{name}", HEAD + "M1,2024-01-15,1,kWh\n")
+    assert rows(ingest(wh, landing), "file", "rows_inserted") == [(n, 1) for n in names]
+    assert rows(wh.read(RAW_READINGS), "_source_file") == [(n,) for n in names]
+
+
 def test_header_must_hold_the_needed_columns(wh, landing):
     landing("meter_readings/readings_1.csv", "customer_id,name\n1,x\n")
     with pytest.raises(ValueError, match="missing from the header"):
