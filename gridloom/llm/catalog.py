@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing
+from gridloom.llm import decontaminate, packing, sharding
 from gridloom.llm.common import table
 
 
@@ -13,10 +13,14 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {"op4_pack": op4_pack, "op8_decontaminate": op8_decontaminate}
+QUERIES = {"op4_pack": op4_pack, "op7_shard": op7_shard, "op8_decontaminate": op8_decontaminate}
 ORACLES: dict[str, str] = {}
