@@ -120,25 +120,25 @@ def find_cuts(sized: DataFrame, shards: int = 16) -> tuple[list[int], int]:
         sums = [0, *accumulate(p.size for p in parts)]
         low = max([-(-sums[-1] // shards), *(p.size for p in parts if p.single)])
         high = least_capacity(sums, shards, low)
-        touched: set[int] = set()
+        wanted: list[list[int]] = []  # one stretch of the order for each cut, at most
+        bits = 0
         if low < high:
             # The j-th greedy cut lies between these for any capacity from low to high.
             first, last = 0, 0
-            for _ in range(shards):
+            for _ in range(shards - 1):
                 first = bisect_right(sums, sums[first] + low) - 1
                 last = min(last + high, sums[-1])
-                touched.update(range(first, min(bisect_left(sums, last) + 1, len(parts))))
-        split = [k for k in sorted(touched) if not parts[k].single]
-        if not split:
+                split = [p for p in parts[first : bisect_left(sums, last) + 1] if not p.single]
+                if split:
+                    bits = max(bits, *(p.bits for p in split))
+                    a, b = split[0].low, split[-1].low + (1 << split[-1].bits) - 1
+                    if wanted and a <= wanted[-1][1] + 1:
+                        wanted[-1][1] = max(b, wanted[-1][1])
+                    else:
+                        wanted.append([a, b])
+        if not wanted:
             break
-        bits = max(p.bits for p in (parts[k] for k in split)) - SPLIT_BITS
-        wanted: list[list[int]] = []
-        for k in split:
-            a, b = parts[k].low, parts[k].low + (1 << parts[k].bits) - 1
-            if wanted and a <= wanted[-1][1] + 1:
-                wanted[-1][1] = max(b, wanted[-1][1])
-            else:
-                wanted.append([a, b])
+        bits -= SPLIT_BITS
         finer = _sums(sized, wanted, max(bits, 0))
         inside = lambda p: any(a <= p.low <= b for a, b in wanted)
         parts = sorted([*(p for p in parts if not inside(p)), *finer], key=lambda p: p.low)
