@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, sharding
+from gridloom.llm import decontaminate, linededup, packing, sharding
 from gridloom.llm.common import table
 
 
@@ -22,5 +22,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {"op4_pack": op4_pack, "op7_shard": op7_shard, "op8_decontaminate": op8_decontaminate}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.drop_repeats(docs)
+    return out.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+
+
+QUERIES = {
+    "op4_pack": op4_pack,
+    "op7_shard": op7_shard,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_line_dedup": op9_line_dedup,
+}
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,207 @@
+"""Removal of repeated runs of lines by winnowing.
+
+A line is a text line, cut further after each sentence end, so that a passage inside a
+longer line is seen too. From every line a gram is hashed: that line and as many of the
+next as hold ``gram_words`` words. Of the grams that start within ``window_words`` words the
+least hash is selected, so any run of ``gram_words + window_words - 1`` words that two places
+share has a selected gram in common.
+
+Selected grams are joined with their first occurrence in (id, line) order, each match is
+extended line by line both ways, and where the common run has that many words, its later
+copy is deleted. An extension looks as many words around the gram as a run must have;
+selected grams lie closer than that, so the extensions of one run overlap and cover it.
+
+DataFrame operations only. Groups are never gathered: a gram that a third of all documents
+share is one partially aggregated row and the short side of a join.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from gridloom.llm.common import staged
+
+#: After a line break, and after a sentence end with its blank.
+LINE_ENDS = r"(?<=[.!?…] )|(?<=[\n。！？])"
+BLANKS = " \t\r\n"
+POSITIONS = 1 << 32
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _lines(text_col: str) -> Column:
+    return F.split(F.coalesce(F.col(text_col), F.lit("")), LINE_ENDS)
+
+
+def _words(line: Column) -> Column:
+    """Blank-separated parts of a trimmed line; none if it is empty."""
+    return F.when(line == "", 0).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
+
+
+def _grams(lines: Column, gram_words: int, window_words: int) -> Column:
+    """hashes, starts (in words; the total last), places and selected grams of a text's lines."""
+
+    def of_filled(filled: Column) -> Column:
+        hashes = F.transform(filled, lambda x: x["hash"])
+        line_of = F.flatten(F.transform(filled, lambda x, k: F.array_repeat(k, x["words"])))
+        return _let(F.struct(hashes.alias("hash"), line_of.alias("line_of")), lambda a: of_words(filled, a))
+
+    def of_words(filled: Column, a: Column) -> Column:
+        total = F.size(a["line_of"])
+        starts = F.filter(
+            F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>")),
+            lambda p: (p == 0) | (F.get(a["line_of"], p) != F.get(a["line_of"], p - 1)),
+        )
+        return _let(starts, lambda s: of_starts(filled, a, s, total))
+
+    def of_starts(filled: Column, a: Column, starts: Column, total: Column) -> Column:
+        last = lambda p: F.get(a["line_of"], p + (gram_words - 1))  # noqa: E731  line of the gram's last word
+        grams = F.transform(
+            F.filter(starts, lambda p: p + gram_words <= total),
+            lambda p, k: F.struct(
+                F.xxhash64(F.slice(a["hash"], k + 1, last(p) - k + 1)).alias("gram"),
+                p.alias("at"), k.alias("first"), last(p).alias("last"),
+            ),
+        )
+        return _let(grams, lambda g: F.struct(
+            a["hash"].alias("hash"),
+            F.concat(starts, F.array(total)).alias("start"),
+            F.transform(filled, lambda x: x["place"]).alias("place"),
+            of_grams(g, a, total).alias("selected"),
+        ))
+
+    def of_grams(grams: Column, a: Column, total: Column) -> Column:
+        values = F.transform(grams, lambda g: g["gram"])
+
+        def least(v: Column) -> Column:
+            def in_window(g: Column, k: Column) -> Column:
+                end = F.least(F.get(a["line_of"], F.least(g["at"] + (window_words - 1), total - 1)) + 1, F.size(v))
+                return _let(F.slice(v, k + 1, end - k), lambda w: (F.array_position(w, F.array_min(w)) - 1 + k).cast("int"))
+
+            return F.transform(F.array_distinct(F.transform(grams, in_window)), lambda k: F.get(grams, k))
+
+        return _let(values, least)
+
+    def read(line: Column, i: Column) -> Column:
+        return _let(F.trim(line, F.lit(BLANKS)), lambda t: F.struct(
+            F.xxhash64(t).alias("hash"), _words(t).alias("words"), i.alias("place")))
+
+    return _let(F.filter(F.transform(lines, read), lambda x: x["words"] > 0), of_filled)
+
+
+def repeated_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    gram_words: int = 12,
+    window_words: int = 17,
+) -> DataFrame:
+    """``_id``, ``_key`` (hash of the text) and ``_ranges``, the line places to delete, for each
+    text that repeats a run of at least ``gram_words + window_words - 1`` words."""
+    if gram_words < 1 or window_words < 1:
+        raise ValueError("gram_words and window_words must be positive")
+    run_words = gram_words + window_words - 1
+    read = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("bigint").alias("_id"),
+        F.xxhash64(text_col).alias("_key"),
+        _grams(_lines(text_col), gram_words, window_words).alias("_found"),
+    )
+    texts = staged(read.select("_id", "_key", "_found.*").filter(F.size("selected") > 0), "lines")
+    at = F.col("_id").cast("decimal(20,0)") * POSITIONS + F.col("first")
+    grams = texts.select("_id", "_key", F.explode("selected").alias("_s")).select(
+        "_id", "_key", "_s.gram", "_s.first", "_s.last"
+    ).withColumn("_at", at.cast("decimal(38,0)"))
+    firsts = grams.groupBy("gram").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    matches = staged(
+        grams.join(firsts.filter("_n > 1").drop("_n"), "gram").select(
+            "_id", "_key", "gram", "first", "last", (F.col("_at") > F.col("_first")).alias("_later")
+        ),
+        "matches",
+    )
+    by_text = matches.groupBy("_id", "_key").agg(
+        F.collect_set(F.struct("gram", "first", "last", "_later")).alias("_matches")
+    )
+    # The lines around each match, as many each way as a run may need.
+    around = by_text.join(texts.select("_id", "_key", "hash", "start", "place"), ["_id", "_key"]).select(
+        "_id", "_key", "hash", "start", "place", F.explode("_matches").alias("_m")
+    )
+    low = F.greatest(F.col("_m.first") - run_words, F.lit(0))
+    around = around.select(
+        "_id", "_key", "_m.gram", "_m._later",
+        F.reverse(F.slice("hash", low + 1, F.col("_m.first") - low)).alias("before"),
+        F.slice("hash", F.col("_m.last") + 2, F.lit(run_words)).alias("after"),
+        # Of the lines from `low` on: first word of each, place of each.
+        F.slice("start", low + 1, F.col("_m.last") - low + 2 + run_words).alias("start"),
+        F.slice("place", low + 1, F.col("_m.last") - low + 1 + run_words).alias("place"),
+        (F.col("_m.first") - low).alias("first"), (F.col("_m.last") - low).alias("last"),
+    )
+    origin = (
+        around.filter(~F.col("_later")).groupBy("gram")
+        .agg(F.first(F.struct("before", "after")).alias("_origin"))  # rows of one place are alike
+    )
+    runs = around.filter("_later").join(origin, "gram").select(
+        "_id", "_key", "start", "place",
+        (F.col("first") - _alike("before", "_origin.before")).alias("first"),
+        (F.col("last") + _alike("after", "_origin.after")).alias("last"),
+    )
+    words = F.get("start", F.col("last") + 1) - F.get("start", F.col("first"))
+    return (
+        runs.filter(words >= run_words)
+        .groupBy("_id", "_key")
+        .agg(F.collect_set(F.struct(
+            F.get("place", F.col("first")).alias("a"), F.get("place", F.col("last")).alias("b"))).alias("_ranges"))
+    )
+
+
+def _alike(left: str, right: str) -> Column:
+    """Number of equal elements before the first difference."""
+    both = F.least(F.size(left), F.size(right))
+    pairs = F.zip_with(F.slice(left, F.lit(1), both), F.slice(right, F.lit(1), both), lambda a, b: a == b)
+    return _let(F.array_position(pairs, False), lambda at: F.when(at > 0, (at - 1).cast("int")).otherwise(both))
+
+
+def drop_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    gram_words: int = 12,
+    window_words: int = 17,
+) -> DataFrame:
+    """``docs`` without the later copies of repeated runs; ``_n_lines`` and ``_n_removed`` are added.
+
+    Whole lines go, with their line ends; what is left of a text is unchanged, and a text of
+    nothing else becomes empty. Rows with a null id or text, texts shorter than a gram and
+    runs shorter than ``gram_words + window_words - 1`` words stay. Of copies in one document
+    the first stays; rows with the same id and the same text share one decision, so neither
+    deletes the other. An empty table gives no rows. All columns stay; names that begin with
+    an underscore are reserved.
+    """
+    ranges = repeated_lines(docs, id_col, text_col, gram_words, window_words).select(
+        F.col("_id").alias("_run_id"), F.col("_key").alias("_run_key"), "_ranges"
+    )
+    same = (F.col(id_col).cast("bigint") == F.col("_run_id")) & (F.xxhash64(text_col) == F.col("_run_key"))
+    joined = docs.join(ranges, same, "left")
+
+    def cut(lines: Column) -> Column:
+        gone = F.flatten(F.transform("_ranges", lambda r: F.sequence(r["a"], r["b"])))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.struct(
+            F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "").alias("text"),
+            F.size(lines).alias("lines"), F.size(kept).alias("kept"),
+        )
+
+    repeats = F.col("_ranges").isNotNull()
+    done = joined.withColumn("_cut", F.when(repeats, _let(_lines(text_col), cut)))
+    n_lines = F.when(F.col(text_col).isNull() | (F.col(text_col) == ""), 0).otherwise(F.size(_lines(text_col)))
+    return done.select(
+        *(F.when(repeats, F.col("_cut.text")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(c)
+          for c in docs.columns),
+        F.coalesce("_cut.lines", n_lines).alias("_n_lines"),
+        F.coalesce(F.col("_cut.lines") - F.col("_cut.kept"), F.lit(0)).alias("_n_removed"),
+    )

@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from gridloom.llm import catalog, linededup
+
+SF = "/root/testdata/sf0.01"
+ENDS = re.compile("(?<=[.!?…] )|(?<=[\n。！？])")
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def hash_of(text):
+    return signed(xxhash.xxh64_intdigest(text.encode(), seed=42))
+
+
+def hash_of_list(values):
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest((v & ((1 << 64) - 1)).to_bytes(8, "little"), seed=seed)
+    return signed(seed)
+
+
+def lines_of(text):
+    return [x for x in ENDS.split(text)] if text else [text]
+
+
+def brute(docs, gram_words, window_words):
+    """The same rules line by line: {(id, text): text left}."""
+    run_words, read, firsts = gram_words + window_words - 1, {}, {}
+    for doc, text in sorted({d for d in docs if None not in d}):
+        lines = lines_of(text)
+        filled = [(k, x.strip(" \t\r\n")) for k, x in enumerate(lines) if x.strip(" \t\r\n")]
+        hashes, sizes = [hash_of(x) for _, x in filled], [x.count(" ") + 1 for _, x in filled]
+        starts = [0, *np.cumsum(sizes).tolist()]
+        grams = []
+        for k in range(len(filled)):
+            last = next((j for j in range(k, len(filled)) if starts[j + 1] - starts[k] >= gram_words), None)
+            if last is None:
+                break
+            grams.append((hash_of_list(hashes[k : last + 1]), k, last))
+        chosen = set()
+        for k in range(len(grams)):
+            window = [g for g in grams[k:] if starts[g[1]] < starts[k] + window_words]
+            chosen.add(min(window, key=lambda g: (g[0], g[1])))
+        read[doc, text] = lines, [k for k, _ in filled], hashes, starts, chosen
+        for gram, k, _ in chosen:
+            firsts[gram] = min(firsts.get(gram, (doc, k, text)), (doc, k, text))
+    out = {}
+    for (doc, text), (lines, place, hashes, starts, chosen) in read.items():
+        gone = set()
+        for gram, a, b in chosen:
+            first_doc, k, first_text = firsts[gram]
+            if (doc, a) <= (first_doc, k):
+                continue
+            other = read[first_doc, first_text][2]
+            n, low, other_low = b - a, max(a - run_words, 0), max(k - run_words, 0)
+            x, y = a, k
+            while x > low and y > other_low and hashes[x - 1] == other[y - 1]:
+                x, y = x - 1, y - 1
+            e, f = b, k + n
+            while e - b < run_words and e + 1 < len(hashes) and f + 1 < len(other) and hashes[e + 1] == other[f + 1]:
+                e, f = e + 1, f + 1
+            if starts[e + 1] - starts[x] >= run_words:
+                gone |= set(range(place[x], place[e] + 1))
+        out[doc, text] = "".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def compare(docs, got, gram_words=12, window_words=17):
+    want = brute(docs, gram_words, window_words)
+    pairs = sorted(((d, want.get((d, t), t)) for d, t in docs), key=str)
+    assert sorted(got, key=str) == pairs
+    return sum(want.get((d, t), t) != t for d, t in docs)
+
+
+def test_query_equals_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = [(r.doc_id, r.text) for r in catalog.op9_line_dedup(spark, SF).collect()]
+    assert compare(docs, got) > 20
+
+
+def test_random_lines(spark):
+    rng = np.random.default_rng(3)
+    vocab = ["a", "b c", "d e f", "", "g h i j k", "l."]
+    docs = [
+        (int(rng.integers(0, 60)), "".join(vocab[k] + ("\n" if rng.random() < 0.7 else ". ") for k in rng.integers(0, 6, n)))
+        for n in rng.integers(0, 40, 80)
+    ]
+    docs = list({d: (d, t) for d, t in docs}.values())
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    out = linededup.drop_repeats(frame, gram_words=4, window_words=5)
+    assert compare(docs, [(r.doc_id, r.text) for r in out.collect()], 4, 5) > 5
+
+
+def sentence(seed, n=12):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + ". "
+
+
+def test_planted_passages_and_odd_rows(spark):
+    passage = "".join(sentence(s) for s in range(5))  # 60 words
+    one_line = sentence(99, 55)
+    docs = [
+        (1, sentence(10) + passage + sentence(11)), (2, sentence(12) + passage + sentence(13)),
+        (3, "x " * 200 + passage.strip()), (4, None), (5, ""), (None, passage), (6, one_line), (7, sentence(14) + one_line),
+        (8, passage), (8, passage), (9, sentence(15) + "\n" + sentence(15)), (10, (sentence(20) + "\n") * 2000),
+    ]
+    frame = spark.createDataFrame([(*d, 1, "z") for d in docs], "doc_id bigint, text string, gram int, first string")
+    out = linededup.drop_repeats(frame)
+    assert out.columns == [*frame.columns, "_n_lines", "_n_removed"]
+    left = {r.doc_id: r for r in out.collect()}
+    assert left[1].text == docs[0][1] and left[2].text == sentence(12) + sentence(13)
+    assert passage.strip() not in left[3].text and left[3].text.startswith("x x")
+    assert left[4].text is None and left[5].text == "" and left[None].text == passage
+    assert left[6].text == one_line and left[7].text == sentence(14)
+    assert left[8].text == "" and left[9].text == docs[10][1]
+    assert len(left[10].text) < len(docs[11][1]) / 2
+    assert out.count() == len(docs)
+    assert linededup.drop_repeats(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        linededup.drop_repeats(frame, gram_words=0)
+
+
+def test_stage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, "/root/testdata/sf0.001")
+    assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_no_python_in_the_plan(spark):
+    plan = catalog.op9_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
