@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, linededup, packing, sharding
+from gridloom.llm import decontaminate, linededup, packing, sharding, simhash
 from gridloom.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -29,6 +33,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op4_pack": op4_pack,
     "op7_shard": op7_shard,
     "op8_decontaminate": op8_decontaminate,
