@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, linededup, packing, sharding, simhash
+from gridloom.llm import decontaminate, knn, linededup, packing, sharding, simhash
 from gridloom.llm.common import table
 
 
@@ -32,11 +32,36 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 
 
+def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = knn.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return knn.top_k(vectors.filter("id % 100 = 0"), vectors)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_pack": op4_pack,
     "op7_shard": op7_shard,
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
+    "op10_knn": op10_knn,
+}
+ORACLES: dict[str, str] = {
+    "op10_knn": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.x, d.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id <> d.vec_id
+            WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 10
+    """,
 }
-ORACLES: dict[str, str] = {}
