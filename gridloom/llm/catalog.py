@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, knn, linededup, packing, sharding, simhash
+from gridloom.llm import decontaminate, knn, linededup, packing, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_pack": op4_pack,
+    "op6_toxicity": op6_toxicity,
     "op7_shard": op7_shard,
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
