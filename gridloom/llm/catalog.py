@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, knn, linededup, packing, sharding, simhash, toxicity
+from gridloom.llm import decontaminate, knn, linededup, packing, quality, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no address: the source is the host, the language a path below it."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,6 +48,7 @@ def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op4_pack": op4_pack,
     "op6_toxicity": op6_toxicity,
     "op7_shard": op7_shard,

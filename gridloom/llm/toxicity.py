@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import slices
+from gridloom.llm.fitting import logistic, sigmoid
 
 WINDOW_BYTES = 60
 LEVEL = 1
@@ -80,7 +81,7 @@ class ToxicityModel:
 
     def score(self, features: np.ndarray) -> np.ndarray:
         x = np.c_[(features - self.mean) / self.scale, np.ones(len(features))]
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+        return sigmoid(x @ self.weights)
 
 
 def _forms(text: str) -> set[bytes]:
@@ -120,18 +121,6 @@ def train_dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> tuple[b
     return base, base + b"".join(marks)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps; the last column of ``x`` is the constant and is not shrunk."""
-    w, shrink = np.zeros(x.shape[1]), ridge * np.r_[np.ones(x.shape[1] - 1), 1e-6]
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink), x.T @ (p - y) + shrink * w)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
-
-
 def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> ToxicityModel | None:
     """A model of labelled texts, or None where a class has none."""
     if not toxic or not ordinary:
@@ -140,7 +129,7 @@ def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> ToxicityModel | None:
     x = np.array([model.features(t) for t in [*toxic, *ordinary]])
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
     y = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
-    model.weights = _logistic(np.c_[(x - model.mean) / model.scale, np.ones(len(x))], y)
+    model.weights = logistic(np.c_[(x - model.mean) / model.scale, np.ones(len(x))], y)
     return model
 
 
