@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, knn, linededup, packing, quality, sharding, simhash, toxicity
+from gridloom.llm import decontaminate, html_text, knn, linededup, packing, quality, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -18,6 +19,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -49,6 +55,7 @@ def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_html_text": op3_html_text,
     "op4_pack": op4_pack,
     "op6_toxicity": op6_toxicity,
     "op7_shard": op7_shard,
