@@ -52,6 +52,20 @@ def _words(line: Column) -> Column:
     return F.when(line == "", 0).otherwise(blanks + 1)
 
 
+def _before(values: Column, levels: int = 2, block: int = 8) -> Column:
+    """Sum of the elements before each one. Blocks are summed first and their sums added up in
+    the same way, so the work stays near proportion to the length."""
+    add = lambda part: F.aggregate(part, F.lit(0), lambda total, x: total + x)
+    if levels == 0:
+        return F.transform(values, lambda _, k: add(F.slice(values, F.lit(1), k)))
+    places = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1, F.lit(block)))
+    blocks = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda at: add(F.slice(values, at + 1, F.lit(block))))
+    return _let(_let(blocks, lambda b: _before(b, levels - 1, block)), lambda sums: F.transform(
+        values,
+        lambda _, k: F.get(sums, F.floor(k / block).cast("int")) + add(F.slice(values, k - k % block + 1, k % block)),
+    ))
+
+
 def _grams(lines: Column, gram_words: int, window_words: int) -> Column:
     """hashes, starts (in words; the total last), places and selected grams of a text's lines."""
 
@@ -61,12 +75,8 @@ def _grams(lines: Column, gram_words: int, window_words: int) -> Column:
         return _let(F.struct(hashes.alias("hash"), line_of.alias("line_of")), lambda a: of_words(filled, a))
 
     def of_words(filled: Column, a: Column) -> Column:
-        total = F.size(a["line_of"])
-        starts = F.filter(
-            F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>")),
-            lambda p: (p == 0) | (F.get(a["line_of"], p) != F.get(a["line_of"], p - 1)),
-        )
-        return _let(starts, lambda s: of_starts(filled, a, s, total))
+        starts = _let(F.transform(filled, lambda x: x["words"]), lambda words: _before(words))
+        return _let(starts, lambda s: of_starts(filled, a, s, F.size(a["line_of"])))
 
     def of_starts(filled: Column, a: Column, starts: Column, total: Column) -> Column:
         last = lambda p: F.get(a["line_of"], p + (gram_words - 1))  # noqa: E731  line of the gram's last word
@@ -126,40 +136,48 @@ def repeated_lines(
     grams = texts.select("_id", F.explode("selected").alias("_s")).select("_id", "_s.gram", "_s.first")
     repeated = grams.groupBy("gram").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_n"))
     matches = staged(grams.join(repeated.filter("_n > 1").drop("_n"), "gram"), "matches")
-    origins = matches.filter("_id = _least").groupBy("gram").agg(
-        F.min("_id").alias("_origin_id"), F.min("first").alias("_origin_first"))
-    by_text = matches.groupBy("_id").agg(F.collect_set("first").alias("_firsts"))
-    around = (
-        texts.select("_id", "_key", "hash", "start", "place").join(by_text, "_id")
-        .select("_id", "_key", "hash", "start", "place", F.explode("_firsts").alias("first"))
-        .withColumn("_at", F.get("start", F.col("first")))
-        # Rows may repeat an id with another text, which need not reach so far.
-        .filter(F.col("_at") + gram_words <= F.element_at("start", -1))
+    origins = matches.filter("_id = _least").groupBy("gram").agg(F.min("first").alias("_origin"))
+    firsts = (
+        matches.join(staged(origins, "origins"), "gram")
+        .select("_id", F.struct("first", ((F.col("_id") == F.col("_least")) & (F.col("first") == F.col("_origin"))).alias("origin")).alias("_m"))
+        .groupBy("_id").agg(F.collect_set("_m").alias("_matches"))
     )
-    starting = lambda low, n, test: F.size(F.filter(F.slice("start", low + 1, n), test))
-    first, last, total = F.col("first"), F.col("last"), F.element_at("start", -1)
-    low = F.greatest(first - run_words, F.lit(0))
-    around = (
-        around
-        .withColumn("last", first + starting(first + 1, F.lit(gram_words), lambda x: x < F.col("_at") + gram_words))
-        .withColumn("_next", F.get("start", last + 1))
-        # Lines around the gram, as many words each way as a run must have.
-        .withColumn("_nb", starting(low, first - low, lambda x: x > F.col("_at") - run_words))
-        .withColumn("_na", starting(last + 1, F.lit(run_words), lambda x: (x < F.col("_next") + run_words) & (x < total)))
-        .select(
-            "_id", "_key", "first",
-            F.xxhash64(F.slice("hash", first + 1, last - first + 1)).alias("gram"),
-            F.reverse(F.slice("hash", first - F.col("_nb") + 1, F.col("_nb"))).alias("before"),
-            F.slice("hash", last + 2, F.col("_na")).alias("after"),
-            F.slice("start", first - F.col("_nb") + 1, F.col("_nb") + last - first + F.col("_na") + 2).alias("start"),
-            F.slice("place", first - F.col("_nb") + 1, F.col("_nb") + last - first + F.col("_na") + 1).alias("place"),
-            F.col("_nb").alias("at"), (F.col("_nb") + last - first).alias("end"),
-        )
+
+    def context(m: Column) -> Column:
+        """The lines around a gram, as many words each way as a run must have."""
+        first, at = m["first"], F.get("start", m["first"])
+        starting = lambda low, n, test: F.size(F.filter(F.slice("start", low + 1, n), test))
+
+        def of_last(last: Column) -> Column:
+            low, total, end = F.greatest(first - run_words, F.lit(0)), F.element_at("start", -1), F.get("start", last + 1)
+            sizes = F.struct(
+                starting(low, first - low, lambda x: x > at - run_words).alias("b"),
+                starting(last + 1, F.lit(run_words), lambda x: (x < end + run_words) & (x < total)).alias("a"),
+            )
+            return _let(sizes, lambda n: F.struct(
+                m["origin"].alias("origin"),
+                F.xxhash64(F.slice("hash", first + 1, last - first + 1)).alias("gram"),
+                F.reverse(F.slice("hash", first - n["b"] + 1, n["b"])).alias("before"),
+                F.slice("hash", last + 2, n["a"]).alias("after"),
+                F.slice("start", first - n["b"] + 1, n["b"] + last - first + n["a"] + 2).alias("start"),
+                F.slice("place", first - n["b"] + 1, n["b"] + last - first + n["a"] + 1).alias("place"),
+                n["b"].alias("at"), (n["b"] + last - first).alias("end"),
+            ))
+
+        return _let(first + starting(first + 1, F.lit(gram_words), lambda x: x < at + gram_words), of_last)
+
+    # Rows may repeat an id with another text, which need not reach so far.
+    reached = F.filter("_matches", lambda m: F.coalesce(F.get("start", m["first"]) + gram_words <= F.element_at("start", -1), F.lit(False)))
+    around = staged(
+        texts.select("_id", "_key", "hash", "start", "place").join(firsts, "_id")
+        .select("_id", "_key", F.explode(F.transform(reached, context)).alias("_c"))
+        .select("_id", "_key", "_c.*"),
+        "around",
+    )
+    origin = staged(
+        around.filter("origin").groupBy("gram").agg(F.first(F.struct("before", "after")).alias("_origin")), "origins"
     )
-    pair = around.join(origins, "gram")
-    is_origin = (F.col("_id") == F.col("_origin_id")) & (first == F.col("_origin_first"))
-    origin = pair.filter(is_origin).groupBy("gram").agg(F.first(F.struct("before", "after")).alias("_origin"))
-    runs = pair.filter(~is_origin).join(origin, "gram").select(
+    runs = around.filter("not origin").join(origin, "gram").select(
         "_id", "_key", "start", "place",
         (F.col("at") - _alike("before", "_origin.before")).alias("at"),
         (F.col("end") + _alike("after", "_origin.after")).alias("end"),
