@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, html_text, knn, linededup, packing, quality, sharding, simhash, toxicity
+from gridloom.llm import decontaminate, html_text, knn, linededup, packing, pii, quality, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_html_text": op3_html_text,
     "op4_pack": op4_pack,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_shard": op7_shard,
     "op8_decontaminate": op8_decontaminate,
