@@ -34,11 +34,17 @@ def tariff_rate(
 
 
 def energy_cost(kwh: Column, rate: Column) -> Column:
-    return (kwh * rate).try_cast("decimal(10,2)")
+    """Fails beyond DECIMAL(10,2), which only a rate above 4 can bring about for a staged reading."""
+    return (kwh * rate).cast("decimal(10,2)")
 
 
 def peak_demand(kwh: Column) -> Column:
-    return (kwh * F.lit(DEMAND_FACTOR)).try_cast("decimal(10,2)")
+    return (kwh * F.lit(DEMAND_FACTOR)).cast("decimal(10,2)")
+
+
+def demand_fits(kwh: Column) -> Column:
+    """Whether the peak demand of a reading can be stored."""
+    return (kwh * F.lit(DEMAND_FACTOR)).try_cast("decimal(10,2)").isNotNull()
 
 
 def customer_segment(tariff_type: Column) -> Column:

@@ -92,13 +92,12 @@ def regional_rollup(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
 
 
 def meter_series(fact: DataFrame, days: int = 7) -> DataFrame:
-    """Daily series per meter with the previous stored day and a rolling sum over ``days`` rows.
-
-    The windows run on daily sums: a meter has at most one row per calendar day.
-    """
+    """Daily series per meter with the previous stored day and a rolling sum over ``days`` calendar
+    days, whether or not each has readings."""
     daily = fact.groupBy("meter_key", "date_key").agg(_kwh().alias("total_kwh"))
     series = Window.partitionBy("meter_key").orderBy("date_key")
-    rolling = series.rowsBetween(-(days - 1), 0)
+    day_number = F.unix_date(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    rolling = Window.partitionBy("meter_key").orderBy(day_number).rangeBetween(-(days - 1), 0)
     return daily.select(
         "meter_key",
         "date_key",

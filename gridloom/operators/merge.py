@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.latest import keep_latest
@@ -49,6 +49,15 @@ def merge_upsert(
     return old.join(new, match, "full_outer").select(*[pick(c) for c in target.columns])
 
 
+def holds(rows: DataFrame, not_null: Sequence[str]) -> Column:
+    """True for every row; the job fails on one with a NULL in a ``not_null`` column."""
+    broken = F.lit(False)
+    for name in not_null:
+        broken = broken | F.col(name).isNull()
+    message = F.lit(f"NULL in one of the required columns {list(not_null)}")
+    return F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def absent_rows(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key the target lacks."""
     return new.join(target.select(*keys), list(keys), "left_anti").select(*new.columns)

@@ -33,7 +33,8 @@ def scd2_expire(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[s
     )
     closing = F.col("_hit").isNotNull() & changed("d", "s", tracked)
     replaced = {
-        "valid_to": F.when(closing, instant(run_ts)).otherwise(F.col("d.valid_to")),
+        # A version that starts after the run is closed where it starts, never before.
+        "valid_to": F.when(closing, F.greatest(instant(run_ts), F.col("d.valid_from"))).otherwise(F.col("d.valid_to")),
         "is_current": ~closing,
     }
     return past.unionByName(joined.select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in dim.columns]))
@@ -64,14 +65,15 @@ def scd2_merge(
     incoming = source.withColumns(
         {**derived, "_starts": F.coalesce(valid_from.cast("timestamp_ntz"), now)}
     ).alias("s")
-    current = dim.filter("is_current").select(key, *tracked).withColumn("_open", F.lit(True)).alias("c")
+    since = F.col("valid_from").alias("_since")
+    current = dim.filter("is_current").select(key, *tracked, since).withColumn("_open", F.lit(True)).alias("c")
     # One join decides both cases: no open version, or an open version that differs.
     candidates = incoming.join(current, F.col(f"s.{key}") == F.col(f"c.{key}"), "left")
     is_first = F.col("c._open").isNull()
     opened = candidates.filter(is_first | changed("c", "s", tracked))
     starts = F.col("s._starts")
     if policy == "contiguous":
-        starts = F.when(is_first, starts).otherwise(now)
+        starts = F.when(is_first, starts).otherwise(F.greatest(now, F.col("c._since")))
     filled = {
         "valid_from": starts,
         "valid_to": F.lit(None).cast("timestamp_ntz"),

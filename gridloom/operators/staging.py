@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.tariff import demand_fits
 from gridloom.functions.text import is_negative_number, looks_like_date, looks_like_number
 from gridloom.operators.latest import keep_latest
 from gridloom.operators.quarantine import Rule, validate_and_quarantine
@@ -43,6 +44,10 @@ def _uncastable(name: str, to_type: str) -> Rule:
     return Rule(f"uncastable_{name}", failing, name)
 
 
+def _null_key(name: str) -> Rule:
+    return Rule(f"null_{name}", F.col(name).isNull(), name)
+
+
 def _raw_order(raw: DataFrame) -> list[str]:
     """Last loaded wins; inside one load the later file, then the later row."""
     return [c for c in ("_loaded_at", "_source_file", "_file_pos", "_raw_id") if c in raw.columns or c == "_raw_id"]
@@ -99,12 +104,15 @@ def reading_rules(mode: str = "default") -> list[Rule]:
     ]
     if mode == "reference":
         return [Rule("invalid_timestamp", bad_time, "reading_timestamp"), *rules]
+    number = kwh.try_cast("decimal(12,4)")
     return [
+        _null_key("meter_id"),
         Rule("invalid_timestamp", ts.isNull() | bad_time, "reading_timestamp"),
         Rule("null_consumption", kwh.isNull(), "consumption_kwh"),
         *rules,
         _uncastable("reading_timestamp", "timestamp_ntz"),
         _uncastable("consumption_kwh", "decimal(12,4)"),
+        Rule("demand_out_of_range", number.isNotNull() & ~demand_fits(number), "consumption_kwh"),
     ]
 
 
@@ -151,6 +159,7 @@ def weather_rules(mode: str = "default") -> list[Rule]:
     if mode == "reference":
         return [Rule("invalid_observation_time", ~looks_like_date(seen), "observation_time"), *rules]
     return [
+        _null_key("location_id"),
         Rule("invalid_observation_time", seen.isNull() | ~looks_like_date(seen), "observation_time"),
         *rules,
         _uncastable("observation_time", "timestamp_ntz"),
@@ -189,8 +198,9 @@ def telemetry_rules(mode: str = "default") -> list[Rule]:
     if mode == "reference":
         return [Rule("invalid_timestamp", ~looks_like_date(ts), "reading_timestamp"), bad_value]
     return [
+        _null_key("equipment_id"),
         Rule("invalid_timestamp", ts.isNull() | ~looks_like_date(ts), "reading_timestamp"),
-        Rule("null_sensor_type", F.col("sensor_type").isNull(), "sensor_type"),
+        _null_key("sensor_type"),
         Rule("null_sensor_value", value.isNull(), "sensor_value"),
         bad_value,
         _uncastable("reading_timestamp", "timestamp_ntz"),

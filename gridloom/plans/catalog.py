@@ -1059,8 +1059,8 @@ def regional_rollup(spark, sf):
     o.sql(
         """SELECT meter_id, date_key, total_kwh,
           lag(total_kwh) OVER (PARTITION BY meter_id ORDER BY date_key) AS previous_kwh,
-          CAST(sum(total_kwh) OVER (PARTITION BY meter_id ORDER BY date_key
-            ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DECIMAL(24,4)) AS rolling_kwh
+          CAST(sum(total_kwh) OVER (PARTITION BY meter_id ORDER BY strptime(CAST(date_key AS VARCHAR), '%Y%m%d')
+            RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS DECIMAL(24,4)) AS rolling_kwh
         FROM (SELECT meter_id, date_key, CAST(sum(consumption_kwh) AS DECIMAL(24,4)) AS total_kwh
               FROM fact GROUP BY meter_id, date_key)""",
         *o.FACT_CHAIN,

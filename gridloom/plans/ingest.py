@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 from datetime import datetime
@@ -22,6 +23,7 @@ from gridloom.sources.landing import (
     METER_FILE,
     Landing,
     list_files,
+    missing_columns,
     read_landed,
 )
 from gridloom.sources.warehouse import Warehouse
@@ -43,7 +45,9 @@ def ingest_files(
 ) -> DataFrame:
     """Load all pending files of one kind in one job; returns one metrics row per file.
 
-    Rows go to one raw partition per file, the ledger rows follow last. A failed run
+    A file whose header lacks a needed column is reported as failed and tried again by the
+    next run; it does not hold up the others. Rows go to one raw partition per file, the
+    ledger rows follow last. A failed run
     leaves no ledger row, and its repetition overwrites the same partitions because a
     batch id depends only on the file's name.
     """
@@ -64,6 +68,13 @@ def ingest_files(
         for r in listed
         if r.existing_rows is not None
     ]
+    broken = missing_columns(spark, [r.path for r in pending], landing)
+    metrics += [
+        ("failed", f"columns {broken[r.path]} missing from the header", r.source_file, None, 0, 0, None, None)
+        for r in pending
+        if r.path in broken
+    ]
+    pending = [r for r in pending if r.path not in broken]
     if pending:
         known = ledger.filter(F.col("source_table") == source)
         first_id = (known.agg(F.max("max_id")).first()[0] or 0) + 1
@@ -111,11 +122,14 @@ _TYPED = {
 
 
 def read_reference(
-    wh: Warehouse, landing: Landing, table: Table, path: str, run_ts: datetime
+    wh: Warehouse, landing: Landing, table: Table, paths: Sequence[str], run_ts: datetime
 ) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejected rows) of one reference file; blank typed fields are NULL."""
+    """(typed rows, rejected rows) of the pieces of one reference file; blank typed fields are NULL.
+
+    Quoted fields may hold line breaks.
+    """
     typed = _TYPED[table.name]
-    rows = read_landed(wh.spark, [path], landing).withColumns(
+    rows = read_landed(wh.spark, paths, landing, multi_line=True).withColumns(
         {
             **{name: blank_to_null(F.col(name)) for name in typed},
             # Named by content: a bad row that is delivered again every day is quarantined once.
@@ -136,7 +150,7 @@ def read_reference(
 
 
 def _merge_reference(wh: Warehouse, table: Table, rows: DataFrame, run_ts: datetime) -> None:
-    latest = keep_latest(rows, table.keys, ["_file_pos", "_row"]).withColumn(
+    latest = keep_latest(rows, table.keys, ["_source_file", "_file_pos", "_row"]).withColumn(
         "_loaded_at", instant(run_ts)
     )
     wh.replace(table, merge_upsert(wh.read(table), latest, table.keys))
@@ -145,6 +159,7 @@ def _merge_reference(wh: Warehouse, table: Table, rows: DataFrame, run_ts: datet
 def ingest_reference(wh: Warehouse, directory: str, run_ts: datetime, strict: bool = False) -> DataFrame:
     """Customers, locations and meters, each optional, in foreign-key order.
 
+    A file may come in pieces named ``customers.partN.csv``; all of them are read.
     Meters of unknown customers are quarantined; ``strict`` raises instead.
     """
     listed = {r.source_file: r.path for r in list_files(wh.spark, directory, "*.csv").collect()}
@@ -154,11 +169,13 @@ def ingest_reference(wh: Warehouse, directory: str, run_ts: datetime, strict: bo
         (LOCATION_FILE, RAW_LOCATIONS),
         (METER_FILE, RAW_METERS),
     ):
-        path = listed.get(landing.pattern)
-        if path is None:
+        stem, suffix = landing.pattern.rsplit(".", 1)
+        shape = re.compile(rf"{re.escape(stem)}(\.part\d+)?\.{suffix}")
+        paths = [path for name, path in sorted(listed.items()) if shape.fullmatch(name)]
+        if not paths:
             continue
         started = time.monotonic()
-        rows, rejected = read_reference(wh, landing, table, path, run_ts)
+        rows, rejected = read_reference(wh, landing, table, paths, run_ts)
         if table is RAW_METERS:
             known = wh.read(RAW_CUSTOMERS).select(F.col("customer_id").alias("_owner"))
             owned = rows.join(known, F.col("customer_id") == F.col("_owner"), "left")

@@ -7,6 +7,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -222,8 +223,9 @@ def backfill(
 def log_checks(
     wh: Warehouse, execution_date: date, run_ts: datetime, days: Sequence[date] | None = None
 ) -> DataFrame:
-    """Check staging and fact, append the outcome to the check log and return it.
+    """Check staging and fact, log the outcome for ``execution_date`` and return it.
 
+    A repeated run replaces the day's log.
     ``days`` limits the check to the partitions a run has rewritten. That keeps it as
     large as the run, and uniqueness is still proven: a key lies in one partition.
     """
@@ -237,6 +239,7 @@ def log_checks(
         (FACT_CONSUMPTION, [quality.in_range("cost_usd", 0, 10000),
                             quality.Check("has_temperature", F.col("temperature_c").isNull(), "info", no_limit)]),
     )
+    logged: list[DataFrame] = []
     for table, checks in plans:
         rows, part = wh.read(table), table.partition_by[0]
         if days is not None:
@@ -251,15 +254,17 @@ def log_checks(
             started = time.monotonic()
             outcome = result.collect()  # one row per check
             elapsed = int((time.monotonic() - started) * 1000)
-            logged = wh.spark.createDataFrame(outcome, result.schema).withColumns(
-                {"execution_time_ms": F.lit(elapsed), "created_at": instant(run_ts)}
+            logged.append(
+                wh.spark.createDataFrame(outcome, result.schema).withColumns(
+                    {"execution_time_ms": F.lit(elapsed), "created_at": instant(run_ts)}
+                )
             )
-            wh.append(DQ_CHECK_RESULTS, logged)
+    wh.overwrite_partitions(DQ_CHECK_RESULTS, reduce(DataFrame.unionByName, logged))
     return wh.read(DQ_CHECK_RESULTS).filter(F.col("execution_date") == F.lit(execution_date))
 
 
 def log_metrics(wh: Warehouse, execution_date: date, run_ts: datetime) -> DataFrame:
-    """Row counts of the run's day, appended to the metrics table."""
+    """Row counts of the run's day; a repeated run replaces the day's rows."""
     fact = wh.read(FACT_CONSUMPTION).filter(F.col("date_key") == date_key(F.lit(execution_date).cast("date")))
     metrics = {
         "fact_rows": F.count(F.lit(1)),
@@ -269,7 +274,7 @@ def log_metrics(wh: Warehouse, execution_date: date, run_ts: datetime) -> DataFr
     rows = quality.metric_rows(fact, metrics, "fact_consumption", execution_date).withColumns(
         {"details": F.lit(None).cast("string"), "created_at": instant(run_ts)}
     )
-    wh.append(DQ_PIPELINE_METRICS, rows)
+    wh.overwrite_partitions(DQ_PIPELINE_METRICS, rows)
     return wh.read(DQ_PIPELINE_METRICS).filter(F.col("execution_date") == F.lit(execution_date))
 
 

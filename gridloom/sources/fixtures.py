@@ -214,7 +214,7 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     celsius = value * F.lit(Decimal("0.05")) - F.lit(Decimal("3.0"))
     rows = (
-        _events(spark, sf_dir, "view", "click")
+        _events(spark, sf_dir)
         .select(
             event.alias("id"),
             F.concat(F.lit("LOC-"), padded(F.col("user_id") % 25, 3)).alias("location_id"),
@@ -297,21 +297,18 @@ def dim_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the same inputs as landed files ---------------------------------------
 
-ROWS_PER_TASK = 2_000_000
-
-
 def write_landed(rows: DataFrame, directory: str, file_format: str = "csv") -> None:
     """Write ``rows`` as one file per ``_source_file``, in ``id`` order.
 
     Tasks hold contiguous ranges, so a large day becomes several files whose names
-    sort in row order: ``x.csv``, ``x.part000001.csv`` and so on.
+    sort in row order: ``x.csv``, ``x.part000001.csv`` and so on. Adaptive execution
+    joins small ranges; no row count is asked for.
     """
     spark = rows.sparkSession
-    tasks = 1 + rows.count() // ROWS_PER_TASK
     payload = [c for c in rows.columns if c not in ("id", "_loaded_at", "_batch_id")]
     staging = f"{directory}.parts-{uuid.uuid4().hex}"
     (
-        rows.repartitionByRange(tasks, "_source_file", "id")
+        rows.repartitionByRange("_source_file", "id")
         .sortWithinPartitions("_source_file", "id")
         .select(*payload)
         .write.partitionBy("_source_file")

@@ -130,6 +130,18 @@ def group_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str
     return dict(groups)
 
 
+def missing_columns(spark: SparkSession, paths: Sequence[str], landing: Landing) -> dict[str, list[str]]:
+    """Needed columns that the headers lack, for the files that lack any."""
+    if landing.file_format != "csv" or not paths:
+        return {}
+    found: dict[str, list[str]] = {}
+    for header, group in group_by_header(spark, paths).items():
+        lacking = [name for name in landing.needed if name not in header]
+        if lacking:
+            found |= dict.fromkeys(group, lacking)
+    return found
+
+
 def _read_csv_group(
     spark: SparkSession, header: tuple[str, ...], paths: list[str], landing: Landing, multi_line: bool
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.merge import absent_rows, merge_upsert
+from gridloom.operators.merge import absent_rows, holds, merge_upsert
 from gridloom.schemas import Table
 
 KEPT_VERSIONS = 2
@@ -41,8 +41,10 @@ class Warehouse:
             if not versions:
                 return self._empty(table)
             path = f"{path}/v={versions[-1]:08d}"
-        elif not self._exists(path):
-            return self._empty(table)
+        else:
+            self._finish_swap(table)
+            if not self._exists(path):
+                return self._empty(table)
         return self.spark.read.schema(table.ddl).parquet(path).select(*table.columns)
 
     def _empty(self, table: Table) -> DataFrame:
@@ -51,6 +53,7 @@ class Warehouse:
     # --- writing ---
 
     def append(self, table: Table, rows: DataFrame) -> None:
+        self._finish_swap(table)
         self._writer(table, rows).mode("append").parquet(self.path(table))
 
     def overwrite_partitions(self, table: Table, rows: DataFrame) -> None:
@@ -60,8 +63,11 @@ class Warehouse:
     def swap_partitions(self, table: Table, rows: DataFrame) -> None:
         """Like :meth:`overwrite_partitions`, for rows that derive from the table itself.
 
-        The stored partitions stay in place until their replacements are complete.
+        The stored partitions stay in place until their replacements are complete. An older
+        swap that was cut off is finished first: its folder may hold the only copy of a
+        partition.
         """
+        self._finish_swap(table)
         writer = self._writer(table, rows).mode("overwrite").option("partitionOverwriteMode", "static")
         writer.parquet(self._pending(table))  # a static overwrite ends with the _SUCCESS mark
         self._finish_swap(table)
@@ -105,19 +111,18 @@ class Warehouse:
         """Merge into a partitioned table, rewriting only the ``touched`` partition values.
 
         The partition column depends on the key alone, so a row never moves. ``touched``
-        is a list of days and may name more than needed. With several days the rows are
-        rebalanced by day: adaptive execution splits a large day over many files and
-        joins small ones.
+        is a list of days and may name more than needed. The rows are rebalanced by day:
+        adaptive execution splits a large day over many files and joins small ones. A NULL
+        in a required column fails the write, as it would never match a stored key.
         """
         if not touched:
             return
-        self._finish_swap(table)
         part = table.partition_by[0]
         current = self.read(table).filter(F.col(part).isin(list(touched)))
+        needed = dict.fromkeys([*table.keys, *table.required])
+        updates = updates.filter(holds(updates, [c for c in needed if c in updates.columns]))
         merged = merge_upsert(current, updates, table.keys, update_cols)
-        if len(touched) > 1:
-            merged = merged.hint("rebalance", part)
-        self.swap_partitions(table, merged)
+        self.swap_partitions(table, merged.hint("rebalance", part))
 
     def insert_if_absent(self, table: Table, rows: DataFrame, within: Column) -> None:
         """Append rows with new keys; ``within`` limits the stored partitions to compare with."""

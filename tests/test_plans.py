@@ -55,5 +55,5 @@ def test_no_python_and_no_cross_join(spark, name):
 def test_only_needed_columns_are_read(spark):
     text = plan(catalog.dim_date_query(spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in text
-    filtered = plan(fx.raw_weather(spark, SF))
-    assert "In(event_type, [click,view])" in filtered
+    weather = plan(fx.raw_weather(spark, SF))
+    assert "PushedFilters: []" in weather  # weather comes from all events
