@@ -135,7 +135,8 @@ def repeated_lines(
     # Narrow rows until it is known which grams repeat.
     grams = texts.select("_id", F.explode("selected").alias("_s")).select("_id", "_s.gram", "_s.first")
     repeated = grams.groupBy("gram").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_n"))
-    matches = staged(grams.join(repeated.filter("_n > 1").drop("_n"), "gram"), "matches")
+    # Written first: a join straight above an aggregate would keep a hot gram in one task.
+    matches = staged(grams.join(staged(repeated.filter("_n > 1").drop("_n"), "repeated"), "gram"), "matches")
     origins = matches.filter("_id = _least").groupBy("gram").agg(F.min("first").alias("_origin"))
     firsts = (
         matches.join(staged(origins, "origins"), "gram")
