@@ -165,11 +165,14 @@ class Phrases:
         return start[true], which[true]
 
 
-def _pass(block: Phrases, first_pass: bool):
-    """Adds one block's spans and items to those of earlier passes."""
+def _pass(block: Phrases, first_pass: bool, cut: tuple[str, str] | None = None):
+    """Adds one block's spans and items to those of earlier passes.
+
+    With ``cut``, a text column and a filler, the spans are cut out of that column instead.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 4 << 20):
+        for batch in slices(batches, "_text", 2 << 20):
             words = split_words(batch.column("_text"))
             start, which = block.occurrences(words)
             n = batch.num_rows
@@ -195,6 +198,14 @@ def _pass(block: Phrases, first_pass: bool):
                 base, offset = int(words.first[d]), int(bounds[d])
                 for a, b in zip(merged[d][::2], merged[d][1::2]):
                     places[d] += (int(words.begins[base + a]) - offset, int(words.ends[base + b - 1]) - offset)
+            names = ["_n_words", "_n_hit", "_spans", "_bytes", "_items"]
+            kept = [c for c in batch.schema.names if c not in names]
+            if cut:
+                kept.remove("_text")
+                texts = _without(batch.column(cut[0]), places, cut[1])
+                columns = [texts if c == cut[0] else batch.column(c) for c in kept]
+                yield pa.RecordBatch.from_arrays(columns, kept)
+                continue
             state = [
                 pa.array(np.diff(words.first), pa.int64()),
                 pa.array([sum(m[1::2]) - sum(m[::2]) for m in merged], pa.int64()),
@@ -202,8 +213,6 @@ def _pass(block: Phrases, first_pass: bool):
                 pa.array(places, pa.list_(pa.int64())),
                 pa.array([sorted(items[d] - {None}) if d in items else [] for d in range(n)], pa.list_(pa.string())),
             ]
-            names = ["_n_words", "_n_hit", "_spans", "_bytes", "_items"]
-            kept = [c for c in batch.schema.names if c not in names]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + state, kept + names)
 
     return run
@@ -220,6 +229,16 @@ def merge_spans(flat: list[int]) -> list[int]:
     return out
 
 
+def _without(texts: pa.Array, places: list[list[int]], filler: str) -> pa.Array:
+    out = texts.to_pylist()
+    for d, spans in enumerate(places):
+        if spans:
+            raw = out[d].encode()
+            edges = [0, *spans, len(raw)]
+            out[d] = filler.join(raw[a:b].decode() for a, b in zip(edges[::2], edges[1::2]))
+    return pa.array(out, pa.string())
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -228,6 +247,7 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_bytes: int = 4 << 20,
+    filler: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_hit`` (words in spans), ``_spans`` (word positions),
     ``_bytes`` (UTF-8 positions) and ``_items`` (ids as text) of all benchmark windows that
@@ -237,6 +257,9 @@ def find_contamination(
     wordless item matches nothing; an item with a null id marks words but is not listed;
     repeated items count once; an empty table gives none. All columns of ``docs`` stay; these
     five names and ``_text`` are reserved.
+
+    With a ``filler`` nothing is added: each span is cut out of its text, the filler in its
+    place, and texts without a span are unchanged.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text"))
     items = items.filter("text is not null").distinct()
@@ -247,6 +270,8 @@ def find_contamination(
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
         phrases = Phrases([r.text for r in block], [r.id for r in block], window)
+        if filler is not None and k == blocks - 1:
+            return out.mapInArrow(_pass(phrases, k == 0, (text_col, filler)), docs.schema)
         out = out.mapInArrow(_pass(phrases, k == 0), f"{kept}, {STATE}")
     return out.drop("_text")
 
@@ -261,23 +286,3 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
         (F.col("_n_hit") > 0).alias("contaminated"),
     )
-
-
-def cut_spans(found: DataFrame, text_col: str = "text", filler: str = "\n") -> DataFrame:
-    """``find_contamination``'s documents with the spans cut out of their texts, ``filler`` in
-    each place; texts without a span are unchanged."""
-    names = [c for c in found.columns if c not in ("_n_words", "_n_hit", "_spans", "_bytes", "_items")]
-    schema = found.select(*names).schema
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            for d, spans in enumerate(batch.column("_bytes").to_pylist()):
-                if spans:
-                    raw = texts[d].encode()
-                    cuts = [0, *spans, len(raw)]
-                    texts[d] = filler.join(raw[a:b].decode() for a, b in zip(cuts[::2], cuts[1::2]))
-            columns = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return found.mapInArrow(run, schema)

@@ -407,7 +407,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text"
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != out_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, html_col, 4 << 20):
+        for batch in slices(batches, html_col, 1 << 20):
             found = [visible_text(page.as_py()) for page in batch.column(html_col)]
             columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string())], [*names, out_col])

@@ -149,7 +149,7 @@ def pack(
         tokens = _TOKENS.get(tokenizer_path) or _TOKENS.setdefault(tokenizer_path, TokenIds(tokenizer_path))
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             out: list[list] = [[] for _ in range(7)]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = tokens(text.as_py() or "").tobytes() + end

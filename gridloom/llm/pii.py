@@ -194,7 +194,7 @@ def with_spans(docs: DataFrame, model: PiiModel | None, text_col: str = "text")
     named = lambda spans: [f"{KINDS[k]}:{a}:{b}" for a, k, b in spans]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 2 << 20):
+        for batch in slices(batches, text_col, 1 << 20):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             base = [base_spans(t) for t in texts]
             more = model.spans(texts) if model else [[] for _ in texts]

@@ -118,7 +118,7 @@ def with_evidence(docs: DataFrame, model: QualityModel | None, text_col: str = "
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, 1 << 20):
             found = model.evidence(model.features(batch.column(text_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*names, "_evidence"])
 

@@ -60,7 +60,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3)
     names = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, 1 << 20):
             found = [fingerprint(t.as_py(), shingle) for t in batch.column(text_col)]
             column = pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*names, "_fingerprint"])

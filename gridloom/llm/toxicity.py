@@ -181,7 +181,7 @@ def with_score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "te
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, 1 << 20):
             x = np.array([model.features(t.as_py()) for t in batch.column(text_col)], float).reshape(-1, 6)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*names, "_score"])
 

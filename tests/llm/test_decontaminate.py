@@ -98,9 +98,10 @@ def test_empty_tables(spark, odd):
     assert len(none) == docs.count() and not any(r.contaminated for r in none)
 
 
-def test_cut_leaves_clean_text_alone(spark, odd):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 16])
+def test_cut_leaves_clean_text_alone(spark, odd, block_bytes):
     docs, items = odd
-    cut = decontaminate.cut_spans(decontaminate.find_contamination(docs, items))
+    cut = decontaminate.find_contamination(docs, items, block_bytes=block_bytes, filler="\n")
     assert cut.columns == docs.columns
     left = {r.doc_id: r.text for r in cut.collect()}
     assert left[2] is None and left[3] == "" and left[1] == "\n" and left[6] == "\n ÉTÉ"
