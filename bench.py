@@ -21,6 +21,9 @@ HEADLINE = (
     "scd2_merge",
     "daily_customer_summary",
     "regional_rollup",
+    "dq_outliers",
+    "fact_upsert",
+    "dim_meter_fk",
 )
 RUNS = 3
 
