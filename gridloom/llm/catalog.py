@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, html_text, knn, linededup, packing, pii, quality, sharding, simhash, toxicity
+from gridloom.llm import decontaminate, html_text, knn, packing, pii, quality, repeats, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -47,7 +47,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = linededup.drop_repeats(docs)
+    out = repeats.drop_runs(docs)
     return out.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 
 
