@@ -51,3 +51,15 @@ def test_runs_of_28_words_in_whole_lines(spark):
         docs += [(2 * k, sentence(3000 + k) + run + sentence(4000 + k)), (2 * k + 1, sentence(5000 + k) + run + sentence(6000 + k))]
     left = check(spark, docs)
     assert all(left[2 * k + 1] == sentence(5000 + k) + sentence(6000 + k) for k in range(40))
+
+
+def test_passages_cut_inside_sentences(spark):
+    docs = []
+    for k in range(40):
+        words = sentence(k, 60).split()  # one sentence, of which another one holds the middle
+        docs += [(2 * k, sentence(100 + k, 60)[:-2] + " " + " ".join(words) + ". "),
+                 (2 * k + 1, " ".join(["before", *words[3:57], "after"]) + ". ")]
+    docs += [(100, "".join(chr(0x4E00 + x) for x in np.random.default_rng(1).integers(0, 9000, 80)))]
+    docs += [(101, "前後" + docs[-1][1][5:75] + "後。")]
+    left = check(spark, docs)
+    assert all(left[2 * k + 1] == "before after. " for k in range(40)) and left[101] == "前後後。"
