@@ -63,3 +63,13 @@ def test_passages_cut_inside_sentences(spark):
     docs += [(101, "前後" + docs[-1][1][5:75] + "後。")]
     left = check(spark, docs)
     assert all(left[2 * k + 1] == "before after. " for k in range(40)) and left[101] == "前後後。"
+
+
+def test_longer_run_around_a_frequent_one(spark):
+    quote, docs = sentence(7, 20), []
+    docs.append((0, sentence(8, 40) + quote + sentence(9, 40)))  # the quote's first place
+    for k in range(20):  # each pair shares a run of its own around the quote
+        run = sentence(200 + k, 6) + quote + sentence(300 + k, 6)
+        docs += [(2 * k + 1, sentence(400 + k) + run), (2 * k + 2, sentence(500 + k) + run)]
+    left = check(spark, docs)
+    assert all(left[2 * k + 1] == docs[2 * k + 1][1] and left[2 * k + 2] == sentence(500 + k) for k in range(20))
