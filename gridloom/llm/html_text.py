@@ -1,7 +1,9 @@
 """Visible text of HTML pages as they would be laid out.
 
 Tags are read in one pass over the page into a stack of open elements, with end tags implied
-where HTML implies them; an element that is not shown hides all inside it. Text runs into
+where HTML implies them; an element that is not displayed hides all inside it, and visibility
+is inherited. Of style sheets those rules count that hold on every screen: blocks for print or
+for screens of some size do not. Text in svg and math is text. Text runs into
 boxes: a list item, a table cell and the page are boxes of lines. A closed item joins its
 parent behind its mark; a closed table joins with its columns aligned. There is no recursion,
 so any depth of nesting does.
@@ -23,7 +25,15 @@ from gridloom.llm.common import slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
 NOT_SHOWN = frozenset(
-    "script style title template iframe noembed noframes noscript object video audio canvas svg math datalist rp".split()
+    "script style title template iframe noembed noframes noscript object video audio canvas datalist rp".split()
+)
+#: Inside svg and math these are not drawn, and those HTML tags end both.
+UNDRAWN = frozenset(
+    "defs symbol metadata desc clippath mask marker pattern lineargradient radialgradient annotation annotation-xml".split()
+)
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -54,9 +64,13 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 WANTED = re.compile(r"hidden|style|type|open|span|start|value|class|id", re.I)
-HIDING = re.compile(r"(?:^|[;{\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-SHEET = re.compile(r"<style\b[^>]*>(.*?)(?:</style|\Z)", re.I | re.S)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+SHOWING = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([\w-]+)", re.I)
+SHEET = re.compile(r"<style\b([^>]*)>(.*?)(?:</style|\Z)", re.I | re.S)
+MEDIA = re.compile(r"\bmedia\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+BRACE = re.compile(r"([^{}]*)([{}])")
+#: A slash at the end that belongs to an unquoted value.
+VALUE_SLASH = re.compile(r"=\s*[^\s\"'>]*/\Z")
 SELECTOR = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?$", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -155,12 +169,13 @@ class Table:
 
 
 class Element:
-    __slots__ = ("tag", "box", "hidden", "pre", "table", "list_depth", "number", "mark", "spans", "closed_details")
+    __slots__ = ("tag", "box", "hidden", "unseen", "pre", "table", "list_depth", "number", "mark", "spans", "closed_details")
 
     def __init__(self, tag: str, parent: Element | None) -> None:
         self.tag = tag
         self.box = parent.box if parent else Box()
         self.hidden = parent.hidden if parent else False
+        self.unseen = parent.unseen if parent else False  # a child may be seen again
         self.pre = parent.pre if parent else False
         self.table = parent.table if parent else None
         self.list_depth = parent.list_depth if parent else 0
@@ -170,21 +185,53 @@ class Element:
         self.closed_details = False
 
 
-def _hidden_selectors(page: str) -> tuple[set[str], set[tuple[str, str, str]]]:
-    """(tags, (tag or "", "." or "#", name)) that a style sheet of the page hides."""
-    tags: set[str] = set()
-    named: set[tuple[str, str, str]] = set()
+def _for_screen(media: str) -> bool:
+    """Holds on every screen; a query about its size need not."""
+    return any(" ".join(q.lower().split()) in ("", "all", "screen", "only all", "only screen") for q in media.split(","))
+
+
+def _applies(at_rule: str) -> bool:
+    name, _, rest = at_rule.partition(" ")
+    if name.lower().startswith("@media"):
+        return _for_screen(at_rule[6:])
+    return name.lower() == "@layer" or name.lower().startswith("@supports") and "not" not in rest.lower().split()
+
+
+def _rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) that hold on a screen."""
+    around: list[str] = []
+    for m in BRACE.finditer(COMMENT.sub(" ", sheet)):
+        if m[2] == "{":
+            around.append(m[1].rpartition(";")[2].strip())
+        elif around:
+            selectors = around.pop()
+            if not selectors.startswith("@") and all(x.startswith("@") and _applies(x) for x in around):
+                yield selectors, m[1]
+
+
+#: (tag or "", "", "." or "#", name): {display or visibility: (rank, value)}
+Sheets = dict[tuple[str, str, str], dict[str, tuple[tuple[int, int, int], str]]]
+
+
+def _showing_rules(page: str) -> Sheets:
+    """What the page's style sheets say of display and visibility; later rules replace earlier."""
+    found: Sheets = {}
     if "display" in page or "visibility" in page:
+        place = 0
         for sheet in SHEET.finditer(page):
-            for selectors, body in RULE.findall(sheet[1]):
-                if HIDING.search(body):
+            media = MEDIA.search(sheet[1])
+            if media and not _for_screen(media[1] or media[2] or media[3] or ""):
+                continue
+            for selectors, body in _rules(sheet[2]):
+                for name, value in SHOWING.findall(body):
+                    place += 1
                     for selector in selectors.split(","):
                         m = SELECTOR.match(selector.strip())
-                        if m and m[2]:
-                            named.add(((m[1] or "").lower(), m[2], m[3]))
-                        elif m and m[1]:
-                            tags.add(m[1].lower())
-    return tags, named
+                        if m and m[0]:
+                            rank = (("", ".", "#").index(m[2] or ""), bool(m[1]), place)
+                            key = ((m[1] or "").lower(), m[2] or "", m[3] or "")
+                            found.setdefault(key, {})[name.lower()] = rank, value.lower()
+    return found
 
 
 def _number(text: str | None, least: int = 1, most: int = 1000) -> int:
@@ -193,7 +240,7 @@ def _number(text: str | None, least: int = 1, most: int = 1000) -> int:
 
 class Page:
     def __init__(self, page: str) -> None:
-        self.hidden_tags, self.hidden_names = _hidden_selectors(page)
+        self.rules = _showing_rules(page)
         root = Element("html", None)
         self.stack, self.count = [root], Counter(["html"])
 
@@ -207,20 +254,27 @@ class Page:
                 attributes.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
         if tag in ("html", "body", "head"):
             top = self.stack[-1]
-            if self._not_shown(tag, attributes):
+            showing = self._showing(tag, attributes)
+            if self._not_shown(tag, attributes, showing):
                 top.hidden = True
+            top.unseen = self._unseen(top, showing)
             return
+        if self.foreign and tag in BREAKS_OUT and not self.count["foreignobject"] and not self.count["desc"]:
+            self._close_from(next(k for k, e in enumerate(self.stack) if e.tag in ("svg", "math")))
         self._imply(tag)
         parent = self.stack[-1]
-        hidden = parent.hidden or self._not_shown(tag, attributes) or parent.closed_details and tag != "summary"
+        showing = self._showing(tag, attributes)
+        hidden = parent.hidden or self._not_shown(tag, attributes, showing) or parent.closed_details and tag != "summary"
         if tag in BLOCKS and not hidden:
             parent.box.space() if tag in SPACED and not (tag in LISTS and parent.list_depth) else parent.box.end_line()
         if tag in VOID:
-            if not hidden:
+            if not hidden and not self._unseen(parent, showing):
                 self._void(tag, parent, attributes)
             return
         e = Element(tag, parent)
-        e.hidden = hidden
+        e.hidden, e.unseen = hidden, self._unseen(parent, showing)
+        if tag == "text" and self.foreign and not hidden:
+            e.box.end_line()
         if tag in ("pre", "textarea"):
             e.pre = True
         elif tag == "details":
@@ -253,17 +307,31 @@ class Page:
         self.stack.append(e)
         self.count[tag] += 1
 
-    def _not_shown(self, tag: str, attributes: dict[str, str]) -> bool:
-        if tag in NOT_SHOWN or tag in self.hidden_tags or tag == "dialog" and "open" not in attributes:
-            return True
-        if not attributes:
-            return False
-        if "hidden" in attributes and attributes["hidden"] != "until-found" or HIDING.search(attributes.get("style", "")):
+    @property
+    def foreign(self) -> bool:
+        return self.count["svg"] > 0 or self.count["math"] > 0
+
+    def _showing(self, tag: str, attributes: dict[str, str]) -> dict[str, str]:
+        """display and visibility of an element, as far as it or a style sheet states them."""
+        found: dict[str, str] = {}
+        if self.rules:
+            names = [("", "")] + [(".", c) for c in attributes.get("class", "").split()] + [("#", attributes.get("id", ""))]
+            ruled = [self.rules[key] for kind, name in names for key in {("", kind, name), (tag, kind, name)} if key in self.rules]
+            for name in ("display", "visibility"):
+                if ranked := [r[name] for r in ruled if name in r]:
+                    found[name] = max(ranked)[1]
+        if "style" in attributes:
+            found |= {name.lower(): value.lower() for name, value in SHOWING.findall(attributes["style"])}
+        return found
+
+    def _not_shown(self, tag: str, attributes: dict[str, str], showing: dict[str, str]) -> bool:
+        if tag in NOT_SHOWN or tag in UNDRAWN and self.foreign or tag == "dialog" and "open" not in attributes:
             return True
-        if self.hidden_names:
-            names = [(".", c) for c in attributes.get("class", "").split()] + [("#", attributes.get("id", ""))]
-            return any((t, kind, name) in self.hidden_names for kind, name in names for t in ("", tag))
-        return False
+        return showing.get("display") == "none" or "hidden" in attributes and attributes["hidden"] != "until-found"
+
+    def _unseen(self, parent: Element, showing: dict[str, str]) -> bool:
+        value = showing.get("visibility")
+        return value in ("hidden", "collapse") if value in ("hidden", "collapse", "visible", "initial") else parent.unseen
 
     def _void(self, tag: str, parent: Element, attributes: dict[str, str]) -> None:
         if tag == "br":
@@ -336,6 +404,8 @@ class Page:
                 parent.box.add([(indent if i else e.mark) + line if line else "" for i, line in enumerate(lines)])
                 if e.tag == "blockquote":
                     parent.box.space()
+            elif e.tag == "text" and self.foreign:
+                e.box.end_line()
             elif e.tag in BLOCKS:
                 e.box.space() if e.tag in SPACED and not (e.tag in LISTS and e.list_depth > 1) else e.box.end_line()
 
@@ -343,7 +413,7 @@ class Page:
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
-        if not raw or top.hidden or top.closed_details:
+        if not raw or top.hidden or top.unseen or top.closed_details:
             return
         if top.tag in ("table", "tr", "thead", "tbody", "tfoot") and top.table is not None:
             if not raw.isspace():  # text between cells stands before the table
@@ -381,7 +451,9 @@ def visible_text(page: str | None) -> str | None:
         if m[1]:
             tag = m[1].lower()
             reader.open(tag, m[2])
-            if tag in RAW:
+            if reader.foreign and not reader.count["foreignobject"] and m[2].endswith("/") and not VALUE_SLASH.search(m[2]):
+                reader.end(tag)
+            elif tag in RAW:
                 end = raw_ends.setdefault(tag, re.compile(f"</{tag}(?=[\\s/>])|\\Z", re.I)).search(page, at)
                 content = page[at : end.start()]
                 if tag == "textarea":
