@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.keys import instant
 from gridloom.functions.text import strip
 from gridloom.operators.merge import duplicate_keys
-from gridloom.operators.quantiles import group_quantiles
+from gridloom.operators.quantiles import group_quantiles, join_groups
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ def outlier_bounds(
     moments = [F.avg(number).alias("mean"), F.stddev_samp(number).alias("deviation")]
     if exact:
         quartiles = group_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
-        bounds = df.groupBy(*keys).agg(*moments).join(quartiles, list(keys))
+        bounds = join_groups(df.groupBy(*keys).agg(*moments), quartiles, keys)
     else:
         both = F.percentile_approx(number, [0.25, 0.75], 10000)
         bounds = df.groupBy(*keys).agg(*moments, both.alias("_q")).withColumns(
@@ -155,7 +155,7 @@ def flag_outliers(
     bounds = outlier_bounds(df, keys, value, factor, exact)
     number = F.col(value).cast("double")
     z = (number - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))
-    judged = df.join(bounds, list(keys)).withColumns(
+    judged = join_groups(df, bounds, keys).withColumns(
         {
             "iqr_outlier": (number < F.col("low")) | (number > F.col("high")),
             "z_outlier": F.coalesce(F.abs(z) > z_limit, F.lit(False)),

@@ -18,6 +18,13 @@ DIGIT_BITS = 20
 MAX_PRECISION = 12
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which a NULL key meets a NULL key, as in a grouping."""
+    named = right.withColumnsRenamed({k: f"_group_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys]
+    return left.join(named, same).drop(*(f"_group_{k}" for k in keys))
+
+
 def group_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
 ) -> DataFrame:
@@ -59,7 +66,7 @@ def group_quantiles(
     )
 
     # Only values that share a wanted digit are ranked, and only against each other.
-    candidates = counted.join(placed, [*keys, "_digit"]).withColumn(
+    candidates = join_groups(counted, placed, [*keys, "_digit"]).withColumn(
         "_from", rows_before([*keys, "_digit"], "_v", "_n")
     )
     hits = candidates.select(*keys, "_v", "_from", "_n", F.inline("_wanted")).filter(
