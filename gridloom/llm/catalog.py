@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import conversations, decontaminate, html_text, knn, packing, pii, quality, repeats, sharding, simhash, toxicity
+from gridloom.llm import conversations, decontaminate, html_text, knn, packing, pii, quality, ranked, repeats, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(vectors.filter("id % 100 = 0"), vectors)
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.repair_audit(damaged, present=F.col("here"))
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_knn": op10_knn,
+    "op12_ranked": op12_ranked,
     "op13_repair": op13_repair,
 }
 ORACLES: dict[str, str] = {
@@ -93,6 +98,41 @@ ORACLES: dict[str, str] = {
         FROM scored
         QUALIFY rank <= 10
     """,
+    "op12_ranked": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), q AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark))
+            GROUP BY item_id, term
+        ), whole AS (
+            SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0
+        ), posting AS (
+            SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+            FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM q)
+            GROUP BY r, term
+        ), weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM posting, whole GROUP BY term, n_docs
+        ), scored AS (
+            SELECT q.item_id, p.r, any_value(p.doc_id) AS doc_id,
+                   CAST(sum(q.times * v.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * p.n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM q JOIN posting p USING (term) JOIN weight v USING (term), whole
+            GROUP BY q.item_id, p.r
+        )
+        SELECT item_id,
+               CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY rank <= 20
+    """,
     "op13_repair": r"""
         WITH RECURSIVE keyed AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
