@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import conversations, decontaminate, html_text, knn, packing, pii, quality, ranked, repeats, sharding, simhash, toxicity
+from gridloom.llm import conversations, decontaminate, html_text, interpolation, knn, packing, pii, quality, ranked, repeats, sharding, simhash, toxicity
 from gridloom.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(vectors.filter("id % 100 = 0"), vectors)
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_knn": op10_knn,
+    "op11_lm_score": op11_lm_score,
     "op12_ranked": op12_ranked,
     "op13_repair": op13_repair,
 }

@@ -19,14 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below the shared ``spark.checkpoint.dir`` and read again.
 
-    Cuts the lineage in storage that every executor reaches. The folder goes when the
-    driver ends; queries are lazy, so it cannot go earlier.
+    Cuts the lineage in storage that every executor reaches. The folder goes with
+    :func:`unstage`, or when the driver ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._staged_at = path
+    return kept
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Removes the folders of staged frames, once all that reads them has been written."""
+    for frame in frames:
+        _remove(frame.sparkSession, frame._staged_at)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
