@@ -45,3 +45,32 @@ def assign_keys(
     )
     columns = new_rows.columns if key_col in new_rows.columns else [key_col, *new_rows.columns]
     return numbered.select(*columns)
+
+
+def number_settled(
+    rows: DataFrame, highest: int | None, key_col: str, natural_key: Sequence[str], per_bucket: int = 50_000
+) -> DataFrame:
+    """Number ``rows`` from ``highest + 1`` without gaps and without a join.
+
+    For rows that have been written already and are cheap to read again: they are counted
+    first, so that no task ranks more than about ``per_bucket`` of them, and the buckets'
+    offsets, at most ``BUCKETS`` numbers, enter the plan as a literal.
+    """
+    count = rows.count()
+    buckets = min(BUCKETS, 1 + count // per_bucket)
+    bucket = F.pmod(F.xxhash64(*natural_key), F.lit(buckets)).cast("int")
+    placed = rows.drop(key_col).withColumn("_bucket", bucket)
+    start = highest or 0
+    if buckets == 1:
+        offset = F.lit(start)
+    else:
+        sizes = dict(placed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
+        offsets = []
+        for b in range(buckets):
+            offsets.append(start)
+            start += sizes.get(b, 0)
+        offset = F.get(F.lit(offsets), F.col("_bucket"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural_key))
+    numbered = placed.withColumn(key_col, (offset + rank).cast("int"))
+    columns = rows.columns if key_col in rows.columns else [key_col, *rows.columns]
+    return numbered.select(*columns)

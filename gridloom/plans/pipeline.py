@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.keys import date_key, instant
 from gridloom.operators import quality
 from gridloom.operators.calendar import build_dim_date, build_dim_time
-from gridloom.operators.dims import build_dim_meter, merge_dim_customer, upsert_dim_location
+from gridloom.operators.dims import build_dim_meter, customer_changes, upsert_dim_location
 from gridloom.operators.fact import FACT_UPDATE_COLS, build_fact_consumption, meter_profile
 from gridloom.operators.merge import insert_if_absent
 from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER, Stage
@@ -104,7 +104,10 @@ def refresh_calendar(wh: Warehouse) -> None:
 
 def refresh_dimensions(wh: Warehouse, run_ts: datetime, policy: str = "contiguous") -> None:
     refresh_calendar(wh)
-    wh.replace(DIM_CUSTOMER, merge_dim_customer(wh.read(DIM_CUSTOMER), wh.read(RAW_CUSTOMERS), run_ts, policy))
+    still_open, closed = customer_changes(
+        wh.read_open(DIM_CUSTOMER), wh.read(DIM_CUSTOMER), wh.read(RAW_CUSTOMERS), run_ts, policy
+    )
+    wh.replace_open(DIM_CUSTOMER, still_open, closed)
     wh.replace(DIM_LOCATION, upsert_dim_location(wh.read(DIM_LOCATION), wh.read(RAW_LOCATIONS)))
     wh.replace(
         DIM_METER,

@@ -13,6 +13,7 @@ class Table:
     partition_by: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     versioned: bool = False  # rewritten whole into a new folder, see sources.warehouse
+    open_flag: str | None = None  # of a versioned history: only rows with this flag are rewritten
 
     @property
     def columns(self) -> list[str]:
@@ -128,6 +129,7 @@ DIM_CUSTOMER = Table(
     "status string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
     keys=("customer_key",),
     versioned=True,
+    open_flag="is_current",
 )
 DIM_LOCATION = Table(
     "analytics/dim_location",

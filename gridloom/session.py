@@ -1,11 +1,12 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the shared scratch folder and tables written there for a while."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Correct at any size; sizes (memory, executors) belong to spark-submit.
 SETTINGS = {
@@ -45,3 +46,37 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="gridloom-")
     return f"{shared.rstrip('/')}/gridloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the shared ``spark.checkpoint.dir`` and read again.
+
+    Cuts the lineage in storage that every executor reaches. The folder goes with
+    :func:`unstage`, or when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    atexit.register(remove, spark, path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._staged_at = path
+    return kept
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Removes the folders of staged frames, once all that reads them has been written."""
+    for frame in frames:
+        remove(frame.sparkSession, frame._staged_at)
+    release(frames[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Asks the driver's collector to run, upon which Spark drops the shuffle files of finished jobs."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # already stopped
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

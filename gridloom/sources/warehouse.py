@@ -6,13 +6,17 @@ Three ways of writing, all on Spark's own commit protocol:
   writes them beside the table first and then swaps folders, and a swap that was cut
   off is finished before the next merge;
 * versioned tables (dimensions, reference data) are written whole into a new folder,
-  and readers take the newest finished one, so a failed write is never seen;
+  and readers take the newest finished one, so a failed write is never seen. Of a history
+  only the open rows are rewritten; rows that a version closes are appended beside them under
+  its number, and count once that version is finished;
 * the ledger is append-only.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +24,14 @@ from pyspark.sql import functions as F
 from gridloom.operators.merge import absent_rows, holds, merge_upsert
 from gridloom.schemas import Table
 
-KEPT_VERSIONS = 2
-
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep_versions`` is how long a replaced version stays for readers that still use it."""
+
+    def __init__(self, spark: SparkSession, root: str, keep_versions: timedelta = timedelta(days=7)):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = keep_versions
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
@@ -38,13 +43,24 @@ class Warehouse:
         path = self.path(table)
         if table.versioned:
             versions = self._versions(table)
-            if not versions:
-                return self._empty(table)
-            path = f"{path}/v={versions[-1]:08d}"
-        else:
-            self._finish_swap(table)
-            if not self._exists(path):
-                return self._empty(table)
+            newest = self._newest(table, versions)
+            if not table.open_flag or not versions or not self._exists(f"{path}_closed"):
+                return newest
+            closed = self.spark.read.schema(f"{table.ddl}, v int").parquet(f"{path}_closed")
+            return newest.unionByName(closed.filter(F.col("v") <= versions[-1]).select(*table.columns))
+        self._finish_swap(table)
+        if not self._exists(path):
+            return self._empty(table)
+        return self.spark.read.schema(table.ddl).parquet(path).select(*table.columns)
+
+    def read_open(self, table: Table) -> DataFrame:
+        """The open rows of a history; closed ones are not read."""
+        return self._newest(table, self._versions(table)).filter(F.col(table.open_flag))
+
+    def _newest(self, table: Table, versions: Sequence[int]) -> DataFrame:
+        if not versions:
+            return self._empty(table)
+        path = f"{self.path(table)}/v={versions[-1]:08d}"
         return self.spark.read.schema(table.ddl).parquet(path).select(*table.columns)
 
     def _empty(self, table: Table) -> DataFrame:
@@ -95,11 +111,29 @@ class Warehouse:
     def replace(self, table: Table, rows: DataFrame) -> None:
         versions = self._versions(table)
         number = versions[-1] + 1 if versions else 1
-        target = f"{self.path(table)}/v={number:08d}"
-        self._conform(table, rows).write.mode("overwrite").parquet(target)
-        for old in versions[: -(KEPT_VERSIONS - 1)]:
-            fs, folder = self._fs(f"{self.path(table)}/v={old:08d}")
-            fs.delete(folder, True)
+        self._conform(table, rows).write.mode("overwrite").parquet(f"{self.path(table)}/v={number:08d}")
+        self._forget(table)
+
+    def replace_open(self, table: Table, open_rows: DataFrame, closed: DataFrame) -> None:
+        """The next version of a history: ``open_rows`` replace the open ones, ``closed`` are appended.
+
+        A repeated attempt overwrites what a failed one has left. Closed rows that an older layout
+        kept with the open ones move once.
+        """
+        versions = self._versions(table)
+        number = versions[-1] + 1 if versions else 1
+        moved = self._newest(table, versions).filter(~F.col(table.open_flag))
+        closed = self._conform(table, closed).unionByName(self._conform(table, moved))
+        closed.write.mode("overwrite").parquet(f"{self.path(table)}_closed/v={number:08d}")
+        self.replace(table, open_rows)
+
+    def _forget(self, table: Table) -> None:
+        """Delete versions that were replaced longer ago than ``keep_versions``."""
+        versions = self._versions(table)
+        for old, successor in zip(versions, versions[1:]):
+            fs, done = self._fs(f"{self.path(table)}/v={successor:08d}/_SUCCESS")
+            if time.time() - fs.getFileStatus(done).getModificationTime() / 1000 > self.keep_versions.total_seconds():
+                fs.delete(self._fs(f"{self.path(table)}/v={old:08d}")[1], True)
 
     def upsert(
         self,
