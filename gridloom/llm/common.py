@@ -2,47 +2,27 @@
 
 from __future__ import annotations
 
-import atexit
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.session import scratch_dir
+from gridloom.session import release, staged, unstage
+
+__all__ = ["apart", "release", "slices", "staged", "table", "text_buffers", "unstage"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written below the shared ``spark.checkpoint.dir`` and read again.
-
-    Cuts the lineage in storage that every executor reaches. The folder goes with
-    :func:`unstage`, or when the driver ends.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    kept = spark.read.schema(df.schema).parquet(path)
-    kept._staged_at = path
-    return kept
-
-
-def unstage(*frames: DataFrame) -> None:
-    """Removes the folders of staged frames, once all that reads them has been written."""
-    for frame in frames:
-        _remove(frame.sparkSession, frame._staged_at)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is None:  # already stopped
-        return
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def apart(docs: DataFrame, **own: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns ``own`` (new name: column) renamed and all others numbered, so that no
+    name can clash; and the way back to the columns as they were."""
+    given = {column: name for name, column in own.items()}
+    names = [given.get(c, f"column_{k}") for k, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda frame: frame.select(*names).toDF(*docs.columns)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,8 @@ Texts are held as chunks of some megabytes. A chunk lists its distinct words and
 64-bit keys, with their counts in either half; the lists are dealt by key, added up, and the
 totals go back to the chunks that asked, in the order of the keys, so they need none. A word that a
 third of all tokens are is one entry of each chunk, and no task holds more than its share of
-the keys. Chunk and totals are then joined once; fitting and scoring are passes without shuffles.
+the keys. Chunk and totals are then joined once; what the join leaves are the tallied events of
+each chunk and the counts along its tokens, from which the scores follow without the texts.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices, staged, text_buffers, unstage
+from gridloom.llm.common import release, slices, staged, text_buffers, unstage
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: Entries of the lists that are added up in one task.
-GROUP_ENTRIES = 1 << 20
+GROUP_ENTRIES = 1 << 19
 #: One in this many documents is held out from training, by the checksum of its id.
 FOLDS, HELD_OUT = 5, 1
 #: The token after a text, and before its first word; no word holds a blank.
@@ -46,7 +47,7 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np
 
 CHUNK = (
     "chunk bigint, rows array<bigint>, ids array<bigint>, kinds array<int>, begins array<boolean>, "
-    "ends array<boolean>, sizes array<bigint>, text binary, tokens array<bigint>"
+    "ends array<boolean>, sizes array<bigint>, text binary"
 )
 
 
@@ -97,30 +98,32 @@ class _Chunks:
             at, before = end, last[0] if last else before
 
     def close(self) -> tuple:
-        text = b"".join(self.texts)
-        chunk = Stream(text, *zip(*[(k, b, e, n) for _, _, k, b, e, n in self.pieces]))
-        tokens = [int(((chunk.kind_of == f).sum())) for f in (0, 1)]
-        row = (
-            (self.task << 33) + self.made, *(list(c) for c in zip(*self.pieces)),
-            zstd.ZstdCompressor(level=3).compress(text), tokens,
-        )
+        text = zstd.ZstdCompressor(level=3).compress(b"".join(self.texts))
+        row = ((self.task << 33) + self.made, *(list(c) for c in zip(*self.pieces)), text)
         self.made += 1
         self._clear()
         return row
 
 
+class _Numbers(dict):
+    """Numbers words as they first come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Stream:
     """The tokens of a chunk: ``word`` after ``before`` (places in ``keys``, sorted), in ``piece``."""
 
     def __init__(self, text: bytes, kinds, begins, ends, sizes) -> None:
-        number = {END: 0}
-        add, found, context, piece, at = number.setdefault, [], [], [], 0
+        number = _Numbers({END: 0})
+        found, context, piece, at = [], [], [], 0
         for begin, end, size in zip(begins, ends, sizes):
             start = len(found)
             if begin:
                 found.append(0)
-            for word in text[at : at + size].split():
-                found.append(add(word, len(number)))
+            found.extend(map(number.__getitem__, text[at : at + size].split()))
             if end:
                 found.append(0)
             context.append(start)
@@ -132,15 +135,16 @@ class Stream:
         token = np.ones(len(found), bool)
         token[[c for c, n in zip(context, piece) if n]] = False
         self.at = np.flatnonzero(token)
+        self.lengths, self.starts = held, ~token
         self.piece = np.repeat(np.arange(len(held)), held)[self.at]
         self.kind_of = np.array(kinds, np.int64)[self.piece]
 
     def index(self) -> None:
         """Keys of the distinct words and bigrams, sorted, and the place of each token's."""
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)
-        keys, place = np.unique(hashes, return_inverse=True)
-        self.word_keys, word = keys, place[self.found]
-        self.word, self.before = word[self.at], word[self.at - 1]
+        self.word_keys, place = np.unique(hashes, return_inverse=True)
+        self.words_at = place[self.found]
+        self.word, self.before = self.words_at[self.at], self.words_at[self.at - 1]
         first = hashes[self.found[self.at - 1]] * _MIX[0]
         pairs = ((first << np.uint64(31)) | (first >> np.uint64(33))) ^ hashes[self.found[self.at]]
         pairs = (pairs ^ (pairs >> np.uint64(30))) * _MIX[1]
@@ -169,7 +173,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield out(made.close())
 
     many, flags = pa.list_(pa.int64()), pa.list_(pa.bool_())
-    types = [pa.int64(), many, many, pa.list_(pa.int32()), flags, flags, many, pa.binary(), many]
+    types = [pa.int64(), many, many, pa.list_(pa.int32()), flags, flags, many, pa.binary()]
     names = [f.split()[0] for f in CHUNK.split(", ")]
 
     def out(row: tuple) -> pa.RecordBatch:
@@ -214,8 +218,8 @@ def lists(chunked: DataFrame, bits: int) -> DataFrame:
 
 
 def totals(listed: DataFrame) -> DataFrame:
-    """What all chunks counted, for each chunk in the order of its keys; ``trained``, in one row of
-    each group, is how many of its keys occur in training."""
+    """What all chunks counted, for each chunk in the order of its keys; in one row of each group
+    ``trained`` is how many of its keys occur in training, ``half_0`` and ``half_1`` how often."""
 
     def run(group: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in group.column("keys")]
@@ -229,14 +233,16 @@ def totals(listed: DataFrame) -> DataFrame:
         for own in keys:
             out.append(packed(np.ascontiguousarray(added[:, place[at : at + len(own)]]).reshape(-1)))
             at += len(own)
-        trained = [int(added.any(0).sum())] + [0] * (len(keys) - 1)
+        rest = [0] * (len(keys) - 1)
+        sums = [int(added.any(0).sum()), *(int(x) for x in added.sum(1))]
         return pa.table({
             "kind": group.column("kind"), "bucket": group.column("bucket"), "chunk": group.column("chunk"),
-            "totals": pa.array(out, pa.binary()), "trained": pa.array(trained, pa.int64()),
+            "totals": pa.array(out, pa.binary()),
+            **{name: pa.array([n, *rest], pa.int64()) for name, n in zip(("trained", "half_0", "half_1"), sums)},
         })
 
     return listed.groupBy("kind", "bucket").applyInArrow(
-        run, "kind int, bucket int, chunk bigint, totals binary, trained bigint"
+        run, "kind int, bucket int, chunk bigint, totals binary, trained bigint, half_0 bigint, half_1 bigint"
     )
 
 
@@ -262,30 +268,52 @@ def _fine(estimate: np.ndarray) -> np.ndarray:
     return np.where(estimate > 0, np.clip(place, 1, WIDE - 1), 0).astype(np.int64)
 
 
-def tally(joined: DataFrame, tokens: tuple[int, int]) -> DataFrame:
-    """``cell``, ``n`` events, and the sums of their bigram and unigram estimates."""
+def _events(stream: Stream, words: np.ndarray, pairs: np.ndarray, tokens: tuple[int, int]) -> list[np.ndarray]:
+    """Cells, events, and the sums of their bigram and unigram estimates, each half by the other's counts."""
+    own, out = stream.halves(stream.pair, len(stream.pair_keys)), []
+    for half in (0, 1):
+        other, n = 1 - half, own[half].astype(np.int64)
+        at = np.flatnonzero(n)
+        context, times = words[other][stream.pair_before[at]], n[at]
+        two = _ratio(pairs[other][at], context)
+        one = _ratio(words[other][stream.pair_word[at]], tokens[other])
+        cell = (_bucket(context) * WIDE + _fine(two)) * WIDE + _fine(one)
+        cells, place = np.unique(cell, return_inverse=True)
+        sums = [np.bincount(place, times * x, len(cells)) for x in (np.ones(len(at)), two, one)]
+        out.append((cells, sums[0].astype(np.int64), *sums[1:]))
+    return [np.concatenate(c) for c in zip(*out)]
+
+
+COUNTED = (
+    "rows array<bigint>, ids array<bigint>, kinds array<int>, lengths array<bigint>, starts binary, words binary, "
+    "pairs binary, events array<struct<cell: bigint, n: bigint, two: double, one: double>>"
+)
+
+
+def counted(joined: DataFrame, tokens: tuple[int, int]) -> DataFrame:
+    """Of each chunk: its events, and along its places what training counted of the word, and of the
+    word after the one before. ``starts`` marks the places that are only context."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, stream in _streams(batches):
             words, pairs = _counted(row, WORD), _counted(row, PAIR)
-            own = stream.halves(stream.pair, len(stream.pair_keys))
-            out = []
-            for half in (0, 1):
-                other, n = 1 - half, own[half].astype(np.int64)
-                at = np.flatnonzero(n)
-                context, times = words[other][stream.pair_before[at]], n[at]
-                two = _ratio(pairs[other][at], context)
-                one = _ratio(words[other][stream.pair_word[at]], tokens[other])
-                cell = (_bucket(context) * WIDE + _fine(two)) * WIDE + _fine(one)
-                cells, place = np.unique(cell, return_inverse=True)
-                sums = [np.bincount(place, times * x, len(cells)) for x in (np.ones(len(at)), two, one)]
-                out.append((cells, sums[0].astype(np.int64), *sums[1:]))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays(columns, ["cell", "n", "two", "one"])
-
-    return joined.mapInArrow(run, "cell bigint, n bigint, two double, one double").groupBy("cell").agg(
-        F.sum("n").alias("n"), F.sum("two").alias("two"), F.sum("one").alias("one")
-    )
+            events = _events(stream, words, pairs, tokens)
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            flat = pa.StructArray.from_arrays(
+                [pa.array(c, t) for c, t in zip(events, kinds)], ["cell", "n", "two", "one"]
+            )
+            many = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["rows"]], many), pa.array([row["ids"]], many), pa.array([row["kinds"]], pa.list_(pa.int32())),
+                    pa.array([stream.lengths.tolist()], many), pa.array([packed(stream.starts)]),
+                    pa.array([packed(words.sum(0)[stream.words_at])]), pa.array([packed(pairs.sum(0)[stream.pair])]),
+                    pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat),
+                ],
+                [f.split()[0] for f in COUNTED.split(", ")[:7]] + ["events"],
+            )
+
+    return joined.mapInArrow(run, COUNTED)
 
 
 @dataclass
@@ -347,38 +375,43 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = F.when(checksum % FOLDS == HELD_OUT, 2).otherwise(F.floor(checksum / FOLDS) % 2).cast("int")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), kind.alias("kind"), F.col(text_col).alias("text"))
     chunked = staged(chunks(texts), "chunks")
-    n = chunked.agg(F.sum(F.col("tokens")[0]), F.sum(F.col("tokens")[1]), F.sum(F.size("rows"))).first()
-    tokens = (n[0] or 0, n[1] or 0)
-    # Distinct entries are fewer than tokens, held-out ones included.
-    every = sum(tokens) * FOLDS // (FOLDS - 1) + (n[2] or 0)
-    bits = max(0, (2 * every // GROUP_ENTRIES).bit_length() - 1)
-    added = staged(totals(lists(chunked, min(bits, 30))), "totals")
-    words = added.filter(F.col("kind") == WORD).agg(F.sum("trained")).first()[0] or 0
+    size = chunked.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()[0] or 0
+    # Words of about six bytes, and for each an entry of its own and one of its pair.
+    bits = min(30, max(0, (size // 3 // GROUP_ENTRIES).bit_length() - 1))
+    added = staged(totals(lists(chunked, bits)), "totals")
+    release(added.sparkSession)  # the lists were larger than all that follows
+    of_words = added.filter(F.col("kind") == WORD).agg(F.sum("trained"), F.sum("half_0"), F.sum("half_1")).first()
+    words, *tokens = (n or 0 for n in of_words)
     per_chunk = added.groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "totals")).alias("found"))
-    joined = staged(chunked.join(per_chunk, "chunk"), "counted")  # both sides hold a row a chunk
+    joined = chunked.join(per_chunk, "chunk")  # both sides hold a row a chunk
+    known = staged(counted(joined, tuple(tokens)), "counted")
     unstage(chunked, added)
-    cells = np.array([tuple(r) for r in tally(joined, tokens).collect()], float)  # bounded by the cells
+    events = known.select(F.inline("events")).groupBy("cell").agg(F.sum("n"), F.sum("two"), F.sum("one"))
+    cells = np.array([tuple(r) for r in events.collect()], float)  # bounded by the cells
     mixture = Mixture(sum(tokens), words, learn_weights(cells, words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, stream in _streams(batches):
-            of_word, of_pair = _counted(row, WORD).sum(0), _counted(row, PAIR).sum(0)
-            p = mixture.probability(of_pair, of_word[stream.pair_before], of_word[stream.pair_word])
-            base = np.log10((of_word + 0.5) / (mixture.tokens + 0.5 * (mixture.words + 1)))
-            size = len(row["rows"])
-            add = lambda x: pa.array(np.bincount(stream.piece, x, size))
-            count = lambda x: pa.array(np.bincount(stream.piece, x, size).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["rows"], pa.int64()), pa.array(row["ids"], pa.int64()), pa.array([k == 2 for k in row["kinds"]]),
-                    count(np.ones(len(stream.piece))), count((of_word > 0)[stream.word]),
-                    add(base[stream.word]), add(np.log10(p)[stream.pair]),
-                ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-            )
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+                at = np.flatnonzero(~unpacked(row["starts"], "?"))
+                word, pair = (unpacked(row[name], "<i8") for name in ("words", "pairs"))
+                context, word = word[at - 1], word[at]
+                p = mixture.probability(pair, context, word)
+                base = np.log10((word + 0.5) / (mixture.tokens + 0.5 * (mixture.words + 1)))
+                of_piece, n = np.repeat(np.arange(len(row["rows"])), row["lengths"])[at], len(row["rows"])
+                add = lambda x: pa.array(np.bincount(of_piece, x, n))  # noqa: E731, B023
+                count = lambda x: pa.array(np.bincount(of_piece, x, n).astype(np.int64))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row["rows"], pa.int64()), pa.array(row["ids"], pa.int64()), pa.array([x == 2 for x in row["kinds"]]),
+                        count(np.ones(len(at))), count(word > 0), add(base), add(np.log10(p)),
+                    ],
+                    ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                )
 
     made = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    pieces = joined.mapInArrow(run, made)
+    pieces = known.drop("events").mapInArrow(run, made)
     whole = pieces.groupBy("row").agg(
         F.min("doc_id").alias("doc_id"), F.min("held_out").alias("held_out"),
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")),
