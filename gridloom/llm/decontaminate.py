@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices, text_buffers
+from gridloom.llm.common import apart, slices, text_buffers
 from gridloom.llm.fm_index import FMIndex
 
 #: Of the word keys; any large odd number will do.
@@ -255,23 +255,27 @@ def find_contamination(
 
     A span list is flat: begin, end, begin, end. A null or empty text has no words; a null or
     wordless item matches nothing; an item with a null id marks words but is not listed;
-    repeated items count once; an empty table gives none. All columns of ``docs`` stay; these
-    five names and ``_text`` are reserved.
+    repeated items count once; an empty table gives none. All columns of ``docs`` stay, but
+    ones with these five names or ``_text`` are replaced.
 
     With a ``filler`` nothing is added: each span is cut out of its text, the filler in its
-    place, and texts without a span are unchanged.
+    place, texts without a span are unchanged, and columns of any name pass.
     """
+    if filler is not None:
+        docs, back = apart(docs, text=text_col)
+        text_col = "text"
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text"))
     items = items.filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // block_bytes
+    docs = docs.drop(*STATE.replace(",", "").split()[::2]) if filler is None else docs
     out = docs.withColumn("_text", F.col(text_col))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
         phrases = Phrases([r.text for r in block], [r.id for r in block], window)
         if filler is not None and k == blocks - 1:
-            return out.mapInArrow(_pass(phrases, k == 0, (text_col, filler)), docs.schema)
+            return back(out.mapInArrow(_pass(phrases, k == 0, (text_col, filler)), docs.schema))
         out = out.mapInArrow(_pass(phrases, k == 0), f"{kept}, {STATE}")
     return out.drop("_text")
 

@@ -187,8 +187,9 @@ def with_spans(docs: DataFrame, model: PiiModel | None, text_col: str = "text")
     start, then kind; code points, end exclusive.
 
     A null or empty text has none. Without a model the rules stand alone. Repeated rows are
-    alike; an empty table gives no rows.
+    alike; an empty table gives no rows. Columns of these names are replaced.
     """
+    docs = docs.drop("_base", "_spans")
     names = docs.columns
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     named = lambda spans: [f"{KINDS[k]}:{a}:{b}" for a, k, b in spans]

@@ -111,9 +111,11 @@ def learn(
 
 
 def with_evidence(docs: DataFrame, model: QualityModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_evidence``, the text's log odds of good quality; 0 without a model."""
+    """``docs`` with ``_evidence``, the text's log odds of good quality; 0 without a model. A column of
+    that name is replaced."""
     if model is None:
         return docs.withColumn("_evidence", F.lit(0.0))
+    docs = docs.drop("_evidence")
     names = docs.columns
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 

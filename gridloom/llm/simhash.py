@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices, staged
+from gridloom.llm.common import apart, slices, staged
 from gridloom.llm.components import components
 
 PART_BITS, PARTS = 31, (0, 31)
@@ -241,9 +241,26 @@ def component_of(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """``docs`` with one document of each component: that with the least id, once."""
-    ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    prints = staged(with_fingerprint(ids, "_text", shingle).drop("_text"), "prints")
-    marked = with_fingerprint(docs, text_col, shingle).join(component_of(prints, max_bits), "_fingerprint")
-    kept = marked.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    return kept.dropDuplicates([id_col, "_root"]).select(*docs.columns)
+    """``docs`` with one document of each component of :func:`near_duplicates`: that with the least id, once.
+
+    The rows to keep are settled on ids and checksums of texts; texts are shuffled once, to meet them.
+    A null id stays only where a component has no other. Of rows with the least id and different
+    texts one stays, of equal rows too. An empty table gives no rows. Columns of any name pass.
+    """
+    inner, back = apart(docs, _id=id_col, _text=text_col)
+    keyed = inner.select(F.col("_id").alias("doc_id"), "_text", F.xxhash64("_text").alias("_key"))
+    prints = staged(with_fingerprint(keyed, "_text", shingle).drop("_text"), "prints")
+    least = prints.join(component_of(prints.drop("_key"), max_bits), "_fingerprint").filter(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+    rows = least.groupBy("_root", "doc_id", "_key").agg(F.count(F.lit(1)).alias("_copies"))
+    kept = staged(
+        rows.groupBy("_root").agg(F.min(F.struct("doc_id", "_key", "_copies")).alias("k"))
+        .select(F.col("k.doc_id").alias("_kept"), F.col("k._key").alias("_kept_key"), "k._copies"), "kept",
+    )
+    same = F.col("_id").eqNullSafe(F.col("_kept")) & (F.xxhash64("_text") == F.col("_kept_key"))
+    found = inner.join(kept, same)
+    if kept.filter("_copies > 1").isEmpty():
+        return back(found)
+    once = found.filter("_copies > 1").dropDuplicates(["_id", "_kept_key"])
+    return back(found.filter("_copies = 1").unionByName(once))

@@ -173,10 +173,12 @@ def with_score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "te
     """``docs`` with ``_score``, from the text alone.
 
     A null text is scored as an empty one, which has one window without gain. Without a model
-    every score is 0. Repeated rows score alike; an empty table gives no rows.
+    every score is 0. Repeated rows score alike; an empty table gives no rows. A column of
+    that name is replaced.
     """
     if model is None:
         return docs.withColumn("_score", F.lit(0.0))
+    docs = docs.drop("_score")
     names = docs.columns
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
