@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, near, packing, repeats, toxicity
-from gridloom.llm.common import staged, table
+from gridloom.llm import decontaminate, packing, repeats, simhash, toxicity
+from gridloom.llm.common import apart, staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,18 +24,19 @@ def _counted(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model).filter("_score < 0.5").drop("_score")
+    inner, back = apart(docs, doc_id="doc_id", text="text")
+    return back(toxicity.with_score(inner, model).filter("_score < 0.5"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of words are cut out of the texts."""
-    return _counted(repeats.drop_runs(docs).drop("_n_lines", "_n_removed"))
+    inner, back = apart(docs, doc_id="doc_id", text="text")
+    return _counted(back(repeats.drop_runs(inner)))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with five-word similarity of 0.8 or more, also by way of others, the one with
-    the least id stays."""
-    return near.keep_one(docs)
+    """Of documents whose fingerprints link, also by way of others, the one with the least id stays."""
+    return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
