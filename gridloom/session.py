@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -71,7 +72,9 @@ def unstage(*frames: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Asks the driver's collector to run, upon which Spark drops the shuffle files of finished jobs."""
+    """Asks the driver's two collectors to run, upon which Spark drops the shuffle files of finished
+    jobs. Plans are kept alive by cycles of Python objects, so Python's comes first."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
