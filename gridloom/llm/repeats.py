@@ -4,34 +4,57 @@ Every run of ``RUN`` words that stands at an earlier place too, in (id, text, pl
 deleted word by word, wherever in a line it begins or ends. Words are blank-separated parts;
 in scripts without blanks each character is one.
 
-Of every ``WINDOW`` neighbouring places that with the least hash of ``ORDER`` words is selected,
-and the ``GRAM`` words from there are its gram. Two places that share ``GRAM + WINDOW - 1`` =
-``RUN`` words share a selected gram. Only around grams that repeat are all runs of ``RUN`` words
-hashed, and each is compared with the first of the same words, not with the first of the same
-gram: a frequent short quote cannot hide a longer run. The result is that of a comparison of
-all pairs of places.
+Of every ``WINDOW`` neighbouring words that with the least hash is selected, and the ``GRAM``
+words from there are its gram. Two places that share ``GRAM + WINDOW - 1`` = ``RUN`` words share
+a selected gram. Grams that repeat are joined with their places, and each match is extended both
+ways in two steps. All words that a run around the gram can reach are its context: where the
+first place of a context lies in another document, its later places go whole, in one row each.
+What is left are the ends of common passages, where the first places of a gram's different
+contexts meet, and texts that repeat themselves; there the runs around a gram are compared one
+by one, each with the first of the same words, so a frequent short quote cannot hide a longer
+run. The result is that of a comparison of all pairs of places.
 
 DataFrame operations only. Groups are never gathered: a run that a third of all documents
-share is one partially aggregated row and the short side of a join.
+share is one partially aggregated row and the short side of a join. What a step has staged goes
+as soon as the next one is written.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import staged
-from gridloom.llm.linededup import MARK, _let, _lines
+from gridloom.llm.common import apart, staged, unstage
 
-RUN, GRAM, WINDOW, ORDER = 28, 17, 12, 8
+RUN, GRAM, WINDOW = 28, 13, 16
 BLANKS = " \n\t"
+#: A line ends after each of these.
+LINE_ENDS = (". ", "! ", "? ", "… ", "\n", "。", "！", "？")
+MARK = "\x01"
 #: Thai to Lao, Burmese, Khmer, Chinese and Japanese.
-UNSPACED = "฀-໿က-႟ក-៿⺀-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
+UNSPACED = "฀-໿က-႟ក-៿⺀-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
 PLACE = (1 << 31) - 1
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _lines(text_col: str) -> Column:
+    """The lines with their ends. Marks and a plain split take a tenth of a pattern's time; a
+    text that holds the mark itself goes the long way."""
+    text = marked = F.coalesce(F.col(text_col), F.lit(""))
+    for end in LINE_ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    pattern = "|".join(f"(?<={re.escape(end)})" for end in LINE_ENDS)
+    lines = F.when(F.contains(text, F.lit(MARK)), F.split(text, pattern)).otherwise(F.split(marked, MARK))
+    return F.filter(lines, lambda line: line != "")
+
+
 def _tokens(text: Column) -> Column:
     """The words with the blank after them; a further blank stands alone."""
     marked = text
@@ -45,42 +68,45 @@ def _bare(token: Column) -> Column:
     return F.translate(token, BLANKS, "")
 
 
-def _hashes(text: Column) -> Column:
-    """Hashes of the words."""
-    plain = F.split(F.translate(text, BLANKS[1:], " " * (len(BLANKS) - 1)), " ")
-    words = F.when(text.rlike(f"[{UNSPACED}]"), F.transform(_tokens(text), _bare)).otherwise(plain)
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+def _words(text: Column) -> Column:
+    """The words; a text of none has one empty word."""
+    inner = F.btrim(text, F.lit(BLANKS))
+    unspaced = F.filter(F.transform(_tokens(text), _bare), lambda w: w != "")
+    return F.when(text.rlike(f"[{UNSPACED}]"), unspaced).otherwise(F.split(inner, f"[{BLANKS}]+"))
 
 
-def _joined(left: Column, right: Column, by: int, how: Callable[[Column, Column], Column]) -> Column:
-    """``how`` of each element of ``left`` and that ``by`` places on in ``right``."""
-    n = F.size(right) - by
-    return F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(by + 1), n), how)
+def _least(values: Column, steps: tuple[int, ...]) -> Callable[[Column, Column], Column]:
+    return lambda x, k: F.least(x, *(F.get(values, k + s) for s in steps))
 
 
-def _doubled(values: Column, how: Callable[[Column, Column], Column], steps: tuple[int, ...], body: Callable[[Column], Column]) -> Column:
-    if not steps:
-        return body(values)
-    return _let(_joined(values, values, steps[0], how), lambda v: _doubled(v, how, steps[1:], body))
+def _selected(words: Column) -> Column:
+    """(gram, at) of the selected places of a text of at least ``RUN`` words."""
 
+    def of_packed(packed: Column) -> Column:
+        # The least of 4, then of 4 x 4 places; a place is packed below its word's hash.
+        four = F.transform(packed, _least(packed, (1, 2, 3)))
+        return _let(four, lambda v: F.transform(F.slice(v, F.lit(1), F.size(words) - (RUN - 1)), _least(v, (4, 8, 12))))
 
-def _less(a: Column, b: Column) -> Column:
-    return F.least(a, b)
+    packed = F.transform(words, lambda w, k: F.xxhash64(w).bitwiseAND(F.lit(~PLACE)).bitwiseOR(k.cast("bigint")))
+    return F.transform(
+        F.array_distinct(_let(packed, of_packed)),
+        lambda x: _let(x.bitwiseAND(F.lit(PLACE)).cast("int"), lambda at: F.struct(_gram(words, at).alias("gram"), at.alias("at"))),
+    )
 
 
-def _selected(hashes: Column) -> Column:
-    """(gram, at) of the selected places of a text of at least ``RUN`` words."""
+def _gram(words: Column, at: Column) -> Column:
+    return F.xxhash64(F.slice(words, at + 1, F.lit(GRAM)))
 
-    def of_order(order: Column) -> Column:
-        packed = F.transform(order, lambda x, k: x.bitwiseAND(F.lit(~PLACE)).bitwiseOR(k.cast("bigint")))
-        four = lambda v: _let(
-            _doubled(v, _less, (4,), lambda eight: _joined(eight, v, 8, _less)), lambda least: F.slice(least, F.lit(1), F.size(hashes) - (RUN - 1))
-        )
-        return _doubled(packed, _less, (1, 2), four)
 
-    places = F.array_distinct(_doubled(hashes, lambda a, b: F.xxhash64(a, b), (1, 2, 4), of_order))
-    gram = lambda at: F.struct(F.xxhash64(F.slice(hashes, at + 1, F.lit(GRAM))).alias("gram"), at.alias("at"))
-    return F.transform(places, lambda x: _let(x.bitwiseAND(F.lit(PLACE)).cast("int"), gram))
+def _context(words: Column, at: Column) -> Column:
+    """What the runs around a gram can reach: its hash, and the stretch from ``a`` to before ``b``."""
+    a = F.greatest(at - (WINDOW - 1), F.lit(0))
+    b = F.least(at + RUN, F.size(words))
+    return F.struct(
+        _gram(words, at).alias("gram"),
+        F.xxhash64(at - a, F.slice(words, a + 1, b - a)).alias("context"),
+        at.alias("at"), a.alias("a"), b.alias("b"),
+    )
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -88,35 +114,79 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_key"), F.col(text_col).alias("_text")
     )
-    long = lambda h, found: F.when(F.size(h) >= RUN, found(h))
+    words = _words(F.col("_text"))
     grams = staged(
-        texts.select("_id", "_key", F.explode(_let(_hashes(F.col("_text")), lambda h: long(h, _selected))).alias("_s")).select("_id", "_key", "_s.*"),
+        texts.select("_id", "_key", F.explode(_let(words, lambda w: F.when(F.size(w) >= RUN, _selected(w)))).alias("_s"))
+        .select("_id", "_key", "_s.*"),
         "grams",
     )
     repeated = staged(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram"), "repeated")
     places = staged(grams.join(repeated, "gram").groupBy("_id", "_key").agg(F.collect_set("at").alias("_places")), "places")
+    unstage(grams, repeated)
+
+    held = staged(texts.join(places, ["_id", "_key"]), "held")
+    around = staged(
+        held.select("_id", "_key", F.explode(_let(words, lambda w: F.transform("_places", lambda at: _context(w, at)))).alias("_c"))
+        .select("_id", "_key", "_c.*"),
+        "around",
+    )
+    unstage(places)
+    marked = staged(_marked(around), "marked")
+    unstage(around)
+
+    ends = marked.filter("_whole IS NULL").groupBy("_id", "_key").agg(F.collect_set("at").alias("_ends"))
 
-    def windows(hashes: Column) -> Column:
-        around = lambda at: F.sequence(F.greatest(at - (WINDOW - 1), F.lit(0)), F.least(at, F.size(hashes) - RUN))
-        starts = F.array_distinct(F.flatten(F.transform("_places", around)))
-        return F.transform(starts, lambda at: F.struct(F.xxhash64(F.slice(hashes, at + 1, F.lit(RUN))).alias("run"), at.alias("at")))
+    def windows(w: Column) -> Column:
+        starts = lambda at: F.sequence(F.greatest(at - (WINDOW - 1), F.lit(0)), F.least(at, F.size(w) - RUN))
+        every = F.array_distinct(F.flatten(F.transform("_ends", starts)))
+        return F.transform(every, lambda at: F.struct(F.xxhash64(F.slice(w, at + 1, F.lit(RUN))).alias("run"), at.alias("at")))
 
     runs = staged(
-        texts.join(places, ["_id", "_key"]).select("_id", "_key", F.explode(_let(_hashes(F.col("_text")), windows)).alias("_r"))
-        .select("_id", "_key", "_r.*"),
+        held.join(ends, ["_id", "_key"]).select("_id", "_key", F.explode(_let(words, windows)).alias("_r")).select("_id", "_key", "_r.*"),
         "runs",
     )
-    place = F.struct("_id", "_key", "at")
-    firsts = runs.groupBy("run").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).filter("_first <> _last")
-    later = runs.join(staged(firsts.drop("_last"), "firsts"), "run").filter(place != F.col("_first"))
+    unstage(held)
+    firsts = runs.groupBy("run").agg(F.min(_place()).alias("_first"), F.max(_place()).alias("_last")).filter("_first <> _last")
+    later = runs.join(staged(firsts.drop("_last"), "firsts"), "run").filter(_place() != F.col("_first"))
     # A copy that overlaps its own first leaves that whole.
-    own = (F.col("_id") == F.col("_first._id")) & (F.col("_key") == F.col("_first._key"))
-    start = F.when(own, F.greatest("at", F.col("_first.at") + RUN)).otherwise(F.col("at"))
-    ends = F.struct((F.col("at") + RUN).alias("b"), start.alias("a"))
-    return later.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(ends)).alias("_ranges"))
+    start = F.when(_own(), F.greatest("at", F.col("_first.at") + RUN)).otherwise(F.col("at"))
+    single = later.select("_id", "_key", F.struct((F.col("at") + RUN).alias("b"), start.alias("a")).alias("_range"))
+    whole = marked.filter("_whole IS NOT NULL").select("_id", "_key", F.col("_whole").alias("_range"))
+    return single.unionByName(whole).groupBy("_id", "_key").agg(F.sort_array(F.collect_set("_range")).alias("_ranges"))
 
 
-def _left(tokens: Column) -> Column:
+def _place() -> Column:
+    return F.struct("_id", "_key", "at")
+
+
+def _own() -> Column:
+    return (F.col("_id") == F.col("_first._id")) & (F.col("_key") == F.col("_first._key"))
+
+
+def _marked(around: DataFrame) -> DataFrame:
+    """``_whole``, the stretch to delete, for places whose context stands in an earlier document; without
+    one, the places at which single runs are to be compared: repeats within a document, and the
+    first place of a context where its document repeats it or its gram has other contexts too.
+
+    The first place of any run is the first of its context, so it is among them if it is needed.
+    """
+    in_first = F.struct("_id", "_key", (-F.col("at")).alias("back"))
+    classes = staged(
+        around.groupBy("gram", "context").agg(F.min(_place()).alias("_first"), F.min(in_first).alias("_back")), "classes"
+    )
+    many = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram", F.lit(True).alias("_many"))
+    repeats = F.col("_many").isNotNull() | (-F.col("_back.back") != F.col("_first.at"))
+    known = staged(
+        classes.join(staged(many, "many"), "gram", "left").select("gram", "context", "_first", repeats.alias("_open")), "classes"
+    )
+    met = around.join(known, ["gram", "context"])
+    # A context that stands once and whose gram has no other is met by its own repeated row only.
+    is_first = _place() == F.col("_first")
+    whole = F.when(~_own(), F.struct("b", "a"))
+    return met.filter(~is_first | F.col("_open")).select("_id", "_key", "at", whole.alias("_whole"))
+
+
+def _left(text: Column, tokens: Column) -> Column:
     """The text without the words of ``_ranges`` and the blanks after them."""
 
     def of_places(places: Column) -> Column:
@@ -126,11 +196,13 @@ def _left(tokens: Column) -> Column:
             first, end = F.get(places, start), F.coalesce(F.get(places, r["b"]), F.size(tokens))
             return F.when(start < r["b"], F.sequence(first, end - 1)).otherwise(F.array().cast("array<int>"))
 
-        kept = F.array_except(F.sequence(F.lit(0), F.size(tokens) - 1), F.flatten(F.transform("_ranges", gone)))
+        kept = F.array_except(every, F.flatten(F.transform("_ranges", gone)))
         return F.array_join(F.transform(kept, lambda k: F.get(tokens, k)), "")
 
-    filled = F.transform(tokens, lambda t, k: F.when(_bare(t) != "", k).otherwise(-1))
-    return _let(F.filter(filled, lambda k: k >= 0), of_places)
+    every = F.sequence(F.lit(0), F.size(tokens) - 1)
+    filled = F.filter(F.transform(tokens, lambda t, k: F.when(_bare(t) != "", k).otherwise(-1)), lambda k: k >= 0)
+    # Without two blanks in a row every token is a word.
+    return _let(F.when(text.rlike(f"(^|[{BLANKS}])[{BLANKS}]"), filled).otherwise(every), of_places)
 
 
 def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,17 +211,20 @@ def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Rows with a null id or text stay as they are, and so does what is left of a text. Of copies
     in one document the first stays; rows with the same id and the same text share one
-    decision, so neither deletes the other. An empty table gives no rows. All columns stay;
-    names that begin with an underscore are reserved.
+    decision, so neither deletes the other. An empty table gives no rows. All columns stay,
+    whatever their names; ones named as the two that are added are replaced.
     """
-    ranges = repeated_runs(docs, id_col, text_col).select(F.col("_id").alias("_run_id"), F.col("_key").alias("_run_key"), "_ranges")
-    same = (F.col(id_col).cast("bigint") == F.col("_run_id")) & (F.xxhash64(text_col) == F.col("_run_key"))
+    docs = docs.drop("_n_lines", "_n_removed")
+    inner, _ = apart(docs, doc=id_col, text=text_col)
+    ranges = repeated_runs(inner, "doc", "text").select(F.col("_id").alias("_run_id"), F.col("_key").alias("_run_key"), "_ranges")
+    same = (F.col("doc").cast("bigint") == F.col("_run_id")) & (F.xxhash64("text") == F.col("_run_key"))
     repeats = F.col("_ranges").isNotNull()
-    done = docs.join(ranges, same, "left").withColumn("_left", F.when(repeats, _let(_tokens(F.col(text_col)), _left)))
-    n_lines = F.when(F.coalesce(F.col(text_col), F.lit("")) == "", 0).otherwise(F.size(_lines(text_col)))
+    text = F.col("text")
+    done = inner.join(ranges, same, "left").withColumn("_left", F.when(repeats, _let(_tokens(text), lambda t: _left(text, t))))
+    n_lines = F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(F.size(_lines("text")))
     left_lines = F.when(F.col("_left") == "", 0).otherwise(F.size(_lines("_left")))
     return done.select(
-        *(F.when(repeats, F.col("_left")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(c) for c in docs.columns),
+        *(F.when(repeats, F.col("_left")).otherwise(text).alias(c) if c == "text" else F.col(c) for c in inner.columns),
         n_lines.alias("_n_lines"),
         F.when(repeats, n_lines - left_lines).otherwise(0).alias("_n_removed"),
-    )
+    ).toDF(*docs.columns, "_n_lines", "_n_removed")

@@ -3,15 +3,26 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import xxhash
 
+import corpus_pipeline
 from gridloom.llm import catalog, repeats
-from tests.llm.test_linededup import hash_of, sentence
 
 SF = "/root/testdata/sf0.01"
 N = 28
 TOKEN = re.compile(f"[{repeats.UNSPACED}][ \n\t]?|[^ \n\t{repeats.UNSPACED}]+[ \n\t]?|[ \n\t]")
 
 
+def hash_of(text):
+    """A text's ``_key``: its signed hash."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64))
+
+
+def sentence(seed, n=12):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + ". "
+
+
 def brute(docs):
     """{(id, text): text left} by the first place of every run of 28 words, all places compared."""
     read, first = {}, {}
@@ -73,3 +84,46 @@ def test_longer_run_around_a_frequent_one(spark):
         docs += [(2 * k + 1, sentence(400 + k) + run), (2 * k + 2, sentence(500 + k) + run)]
     left = check(spark, docs)
     assert all(left[2 * k + 1] == docs[2 * k + 1][1] and left[2 * k + 2] == sentence(500 + k) for k in range(20))
+
+
+def test_random_words(spark):
+    """Few words, so that runs repeat in all ways: within texts, across them, at their edges."""
+    rng = np.random.default_rng(3)
+    pool = ["a", "b", "c", "d e", "\n", "f. ", "  "]
+    docs = []
+    for _ in range(120):
+        parts = [sentence(int(rng.integers(0, 12)), int(rng.integers(8, 40))) for _ in range(int(rng.integers(0, 6)))]
+        parts += [" ".join(pool[k] for k in rng.integers(0, len(pool), int(rng.integers(0, 50)))) for _ in range(2)]
+        parts += ["x y " * int(rng.integers(0, 40))]
+        docs.append((int(rng.integers(0, 60)), " ".join(parts[k] for k in rng.permutation(len(parts)))))
+    check(spark, docs + docs[:5])
+
+
+def test_odd_rows(spark):
+    passage = "".join(sentence(s) for s in range(5))  # 60 words
+    docs = [
+        (1, sentence(10) + passage + sentence(11)), (2, sentence(12) + passage + sentence(13)), (3, "x " * 200 + passage.strip()),
+        (4, None), (5, ""), (None, passage), (6, " \n "), (8, passage), (8, passage), (8, passage + "more"), (9, sentence(15) + "\n" + sentence(15)),
+        (10, (sentence(20) + "\n") * 2000), (11, "\x01a " + passage + "\x01b. c"), (12, "  " + passage.replace(" ", "  ")),
+    ]
+    frame = spark.createDataFrame([(*d, 1, "z") for d in docs], "doc_id bigint, text string, gram int, _n_lines string")
+    out = repeats.drop_runs(frame)
+    assert out.columns == ["doc_id", "text", "gram", "_n_lines", "_n_removed"]
+    got = out.collect()
+    left = check(spark, docs, [(r.doc_id, r.text) for r in got])
+    assert left[1] == docs[0][1] and left[2] == sentence(12) + sentence(13) and left[None] == passage
+    assert len(left[10]) < len(docs[11][1]) / 2
+    assert {r.doc_id: r._n_removed for r in got}[2] == 5
+    assert repeats.drop_runs(frame.limit(0)).count() == 0
+
+
+def test_stage(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, sf)
+    assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_no_python_in_the_plan(spark):
+    plan = catalog.op9_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
