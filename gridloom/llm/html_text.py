@@ -3,10 +3,13 @@
 Tags are read in one pass over the page into a stack of open elements, with end tags implied
 where HTML implies them; an element that is not displayed hides all inside it, and visibility
 is inherited. Of style sheets those rules count that hold on every screen: blocks for print or
-for screens of some size do not. Text in svg and math is text. Text runs into
-boxes: a list item, a table cell and the page are boxes of lines. A closed item joins its
-parent behind its mark; a closed table joins with its columns aligned. There is no recursion,
-so any depth of nesting does.
+for screens of some size do not. Selectors of tags, classes and ids count, also several at once and
+below others, by their specificity and importance; ones with attributes, states or siblings do not.
+Text in svg and math is text, and so are the values that fields show.
+
+Text runs into boxes: a list item, a table cell and the page are boxes of lines. A closed item
+joins its parent behind its mark; a closed table joins with its columns aligned, wide characters
+taking two. There is no recursion, so any depth of nesting does.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from html import unescape
+from unicodedata import combining, east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +43,10 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split()
 )
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark nobr q s samp small span strike strong "
+    "sub sup tt u var".split()
+)
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 #: A start tag closes an open p.
 ENDS_P = BLOCKS - {"body", "html", "legend"}
@@ -57,21 +65,27 @@ CLOSES = {
 BARRIERS = frozenset(("table", "td", "th", "caption", "html", "template"))
 TABLE_PARTS = frozenset("table tr td th caption thead tbody tfoot html body".split())
 BULLETS = ("•", "◦", "▪")
+#: Displays that begin and end a line, elements that have one, and fields whose value is not shown.
+AS_BLOCK = frozenset("block flex grid flow-root list-item table".split())
+OWN_LINE = frozenset(("option", "optgroup"))
+UNSHOWN_FIELDS = frozenset("hidden password checkbox radio file range color image".split())
+BUTTONS = frozenset(("submit", "button", "reset"))
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</([a-zA-Z][^\s/>]*+)[^>]*+>?|<[!?/][^>]*+>?",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
-WANTED = re.compile(r"hidden|style|type|open|span|start|value|class|id", re.I)
-SHOWING = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([\w-]+)", re.I)
+WANTED = re.compile(r"hidden|style|type|open|span|start|value|class|id|placeholder", re.I)
+SHOWING = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
 SHEET = re.compile(r"<style\b([^>]*)>(.*?)(?:</style|\Z)", re.I | re.S)
 MEDIA = re.compile(r"\bmedia\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 BRACE = re.compile(r"([^{}]*)([{}])")
 #: A slash at the end that belongs to an unquoted value.
 VALUE_SLASH = re.compile(r"=\s*[^\s\"'>]*/\Z")
-SELECTOR = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?$", re.I)
+COMPOUND = re.compile(r"([a-z][a-z0-9-]*|\*)?((?:[.#][\w-]+)*)$", re.I)
+NAME = re.compile(r"([.#])([\w-]+)")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -123,24 +137,33 @@ class Box:
         return self.lines
 
 
+def columns(line: str) -> int:
+    """Columns that a line takes: wide characters two, combining ones none."""
+    if line.isascii():
+        return len(line)
+    return sum(0 if combining(c) else 2 if east_asian_width(c) in "WF" else 1 for c in line)
+
+
 class Table:
     """Rows of (lines, columns spanned); ``held`` has the columns kept by cells of earlier rows."""
 
     def __init__(self) -> None:
         self.rows: list[list[tuple[list[str], int]]] = []
         self.held: dict[int, int] = {}
+        self.taken: set[int] = set()  # of the open row
         self.caption: list[str] = []
 
     def start_row(self) -> None:
         self.rows.append([])
+        self.taken = set(self.held)
+        self.held = {at: n - 1 for at, n in self.held.items() if n > 1}
 
     def cell(self, lines: list[str], across: int, down: int) -> None:
         if not self.rows:
             self.start_row()
         row = self.rows[-1]
         at = sum(n for _, n in row)
-        while self.held.get(at, 0):
-            self.held[at] -= 1
+        while at in self.taken:
             row.append(([], 1))
             at += 1
         row.append((lines, across))
@@ -154,7 +177,7 @@ class Table:
             at = 0
             for lines, across in row:
                 if across == 1:
-                    width[at] = max(width.get(at, 0), *map(len, lines)) if lines else width.get(at, 0)
+                    width[at] = max(width.get(at, 0), *map(columns, lines)) if lines else width.get(at, 0)
                 at += across
         out = list(self.caption)
         for row in self.rows:
@@ -162,14 +185,15 @@ class Table:
                 at, parts = 0, []
                 for lines, across in row:
                     room = sum(width.get(c, 0) for c in range(at, at + across)) + 2 * (across - 1)
-                    parts.append((lines[k] if k < len(lines) else "").ljust(room))
+                    line = lines[k] if k < len(lines) else ""
+                    parts.append(line + " " * (room - columns(line)))
                     at += across
                 out.append("  ".join(parts).rstrip(" "))
         return out
 
 
 class Element:
-    __slots__ = ("tag", "box", "hidden", "unseen", "pre", "table", "list_depth", "number", "mark", "spans", "closed_details")
+    __slots__ = ("tag", "box", "hidden", "unseen", "pre", "table", "list_depth", "number", "mark", "spans", "closed_details", "line", "names")
 
     def __init__(self, tag: str, parent: Element | None) -> None:
         self.tag = tag
@@ -183,6 +207,8 @@ class Element:
         self.mark = ""
         self.spans = (1, 1)
         self.closed_details = False
+        self.line = False  # an inline element that stands on lines of its own
+        self.names: frozenset[str] = frozenset((tag,))  # tag, .class and #id, for selectors
 
 
 def _for_screen(media: str) -> bool:
@@ -209,8 +235,36 @@ def _rules(sheet: str) -> Iterator[tuple[str, str]]:
                 yield selectors, m[1]
 
 
-#: (tag or "", "", "." or "#", name): {display or visibility: (rank, value)}
-Sheets = dict[tuple[str, str, str], dict[str, tuple[tuple[int, int, int], str]]]
+#: (names, whether the next one is the parent) from the element outward
+Selector = list[tuple[frozenset[str], bool]]
+#: {name of the element: [(selector, property, rank, value)]}
+Sheets = dict[str, list[tuple[Selector, str, tuple, str]]]
+
+
+def _selector(text: str) -> tuple[Selector, tuple[int, int, int]] | None:
+    """A selector of tags, classes and ids with its specificity; None for any other."""
+    parts, found = text.replace(">", " > ").split(), []
+    ids = classes = tags = 0
+    child = False
+    for part in reversed(parts):
+        if part == ">":
+            if not found or child:
+                return None
+            child = True
+            continue
+        m = COMPOUND.match(part)
+        if not m:
+            return None
+        names = {kind + name for kind, name in NAME.findall(m[2])}
+        ids, classes = ids + m[2].count("#"), classes + m[2].count(".")
+        if m[1] and m[1] != "*":
+            names.add(m[1].lower())
+            tags += 1
+        if found and child:
+            found[-1] = (found[-1][0], True)
+        child = False
+        found.append((frozenset(names), False))
+    return (found, (ids, classes, tags)) if found and not child else None
 
 
 def _showing_rules(page: str) -> Sheets:
@@ -223,14 +277,14 @@ def _showing_rules(page: str) -> Sheets:
             if media and not _for_screen(media[1] or media[2] or media[3] or ""):
                 continue
             for selectors, body in _rules(sheet[2]):
-                for name, value in SHOWING.findall(body):
+                for name, value, important in SHOWING.findall(body):
                     place += 1
-                    for selector in selectors.split(","):
-                        m = SELECTOR.match(selector.strip())
-                        if m and m[0]:
-                            rank = (("", ".", "#").index(m[2] or ""), bool(m[1]), place)
-                            key = ((m[1] or "").lower(), m[2] or "", m[3] or "")
-                            found.setdefault(key, {})[name.lower()] = rank, value.lower()
+                    for text in selectors.split(","):
+                        if read := _selector(text):
+                            selector, weight = read
+                            key = min(selector[0][0], key=lambda n: (n[0] != "#", n[0] != ".", n), default="")
+                            rank = (bool(important), False, weight, place)
+                            found.setdefault(key, []).append((selector, name.lower(), rank, value.lower()))
     return found
 
 
@@ -254,7 +308,8 @@ class Page:
                 attributes.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
         if tag in ("html", "body", "head"):
             top = self.stack[-1]
-            showing = self._showing(tag, attributes)
+            top.names |= self._names(tag, attributes)
+            showing = self._showing(top.names, self.stack[:-1], attributes)
             if self._not_shown(tag, attributes, showing):
                 top.hidden = True
             top.unseen = self._unseen(top, showing)
@@ -263,16 +318,20 @@ class Page:
             self._close_from(next(k for k, e in enumerate(self.stack) if e.tag in ("svg", "math")))
         self._imply(tag)
         parent = self.stack[-1]
-        showing = self._showing(tag, attributes)
+        names = self._names(tag, attributes) if self.rules else frozenset()
+        showing = self._showing(names, self.stack, attributes)
+        line = tag not in BLOCKS and tag not in TABLE_PARTS and (tag in OWN_LINE or showing.get("display") in AS_BLOCK)
         hidden = parent.hidden or self._not_shown(tag, attributes, showing) or parent.closed_details and tag != "summary"
         if tag in BLOCKS and not hidden:
             parent.box.space() if tag in SPACED and not (tag in LISTS and parent.list_depth) else parent.box.end_line()
+        if line and not hidden:
+            parent.box.end_line()
         if tag in VOID:
             if not hidden and not self._unseen(parent, showing):
                 self._void(tag, parent, attributes)
             return
         e = Element(tag, parent)
-        e.hidden, e.unseen = hidden, self._unseen(parent, showing)
+        e.hidden, e.unseen, e.line, e.names = hidden, self._unseen(parent, showing), line, names
         if tag == "text" and self.foreign and not hidden:
             e.box.end_line()
         if tag in ("pre", "textarea"):
@@ -311,18 +370,42 @@ class Page:
     def foreign(self) -> bool:
         return self.count["svg"] > 0 or self.count["math"] > 0
 
-    def _showing(self, tag: str, attributes: dict[str, str]) -> dict[str, str]:
+    def _names(self, tag: str, attributes: dict[str, str]) -> frozenset[str]:
+        given = ["." + c for c in attributes.get("class", "").split()]
+        return frozenset([tag, *given, "#" + attributes["id"]] if "id" in attributes else [tag, *given])
+
+    def _showing(self, names: frozenset[str], around: list[Element], attributes: dict[str, str]) -> dict[str, str]:
         """display and visibility of an element, as far as it or a style sheet states them."""
-        found: dict[str, str] = {}
+        best: dict[str, tuple[tuple, str]] = {}
         if self.rules:
-            names = [("", "")] + [(".", c) for c in attributes.get("class", "").split()] + [("#", attributes.get("id", ""))]
-            ruled = [self.rules[key] for kind, name in names for key in {("", kind, name), (tag, kind, name)} if key in self.rules]
-            for name in ("display", "visibility"):
-                if ranked := [r[name] for r in ruled if name in r]:
-                    found[name] = max(ranked)[1]
+            for key in ("", *names):
+                for selector, name, rank, value in self.rules.get(key, ()):
+                    if (name not in best or rank > best[name][0]) and self._matches(selector, names, around):
+                        best[name] = rank, value
         if "style" in attributes:
-            found |= {name.lower(): value.lower() for name, value in SHOWING.findall(attributes["style"])}
-        return found
+            for place, (name, value, important) in enumerate(SHOWING.findall(attributes["style"])):
+                rank = (bool(important), True, (0, 0, 0), place)
+                if name.lower() not in best or rank > best[name.lower()][0]:
+                    best[name.lower()] = rank, value.lower()
+        return {name: value for name, (_, value) in best.items()}
+
+    @staticmethod
+    def _matches(selector: Selector, names: frozenset[str], around: list[Element]) -> bool:
+        wanted, parent = selector[0]
+        if not wanted <= names:
+            return False
+        at = len(around) - 1
+        for wanted, next_is_parent in selector[1:]:
+            if parent:
+                if at < 0 or not wanted <= around[at].names:
+                    return False
+            else:
+                while at >= 0 and not wanted <= around[at].names:
+                    at -= 1
+                if at < 0:
+                    return False
+            at, parent = at - 1, next_is_parent
+        return True
 
     def _not_shown(self, tag: str, attributes: dict[str, str], showing: dict[str, str]) -> bool:
         if tag in NOT_SHOWN or tag in UNDRAWN and self.foreign or tag == "dialog" and "open" not in attributes:
@@ -336,9 +419,10 @@ class Page:
     def _void(self, tag: str, parent: Element, attributes: dict[str, str]) -> None:
         if tag == "br":
             parent.box.end_line(always=True)
-        elif tag == "input" and attributes.get("type", "").lower() in ("submit", "button", "reset"):
-            if shown := SPACES.sub(" ", attributes.get("value", "")).strip():
-                parent.box.text(shown)
+        elif tag == "input" and (kind := attributes.get("type", "").lower()) not in UNSHOWN_FIELDS:
+            value = attributes.get("value") or ("" if kind in BUTTONS else attributes.get("placeholder", ""))
+            if shown := SPACES.sub(" ", value).strip():
+                parent.box.text(shown if kind in BUTTONS else f" {shown} ")
 
     def _imply(self, tag: str) -> None:
         """Closes what the start of ``tag`` closes, and opens a row for a bare cell."""
@@ -379,7 +463,11 @@ class Page:
         elif tag not in ("html", "body", "head") and self.count[tag]:
             for k in range(len(self.stack) - 1, 0, -1):
                 if self.stack[k].tag == tag:
-                    self._close_from(k)
+                    if tag in INLINE and not self.stack[k].hidden and any(e.tag in BLOCKS for e in self.stack[k + 1 :]):
+                        del self.stack[k]  # blocks inside an inline element outlast it
+                        self.count[tag] -= 1
+                    else:
+                        self._close_from(k)
                     break
                 if self.stack[k].tag in BARRIERS and tag not in TABLE_PARTS:
                     break
@@ -404,7 +492,7 @@ class Page:
                 parent.box.add([(indent if i else e.mark) + line if line else "" for i, line in enumerate(lines)])
                 if e.tag == "blockquote":
                     parent.box.space()
-            elif e.tag == "text" and self.foreign:
+            elif e.tag == "text" and self.foreign or e.line:
                 e.box.end_line()
             elif e.tag in BLOCKS:
                 e.box.space() if e.tag in SPACED and not (e.tag in LISTS and e.list_depth > 1) else e.box.end_line()

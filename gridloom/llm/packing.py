@@ -5,8 +5,9 @@ least free space that still holds them. A fixed number of sequences is open; the
 a bitset keyed by free space, so the best fit is the lowest set bit at or above the length.
 If none fits and all places are taken, the fullest open sequence is closed.
 
-Nothing is shuffled: each task packs its own documents and leaves at most ``open_bins``
-sequences short.
+What stands in sequences that are still open when a task ends is packed again by the same rule,
+the longest pieces first, in tasks of up to ``AGAIN`` pieces. So the number of sequences hardly
+depends on how the documents were dealt to tasks. Only those narrow rows are shuffled.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import slices, staged
 
 SCHEMA = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 )
-#: A sequence id holds the task's number above this many bits.
-SEQUENCE_BITS = 40
+#: A sequence id holds the task's number above this many bits, and the second pass' mark.
+SEQUENCE_BITS, SECOND = 36, 1 << 62
+#: Pieces that a task of the second pass packs.
+AGAIN = 200_000
 
 
 # Fixed value: how byte-level tokenizers cut text into words before the merges.
@@ -95,6 +98,9 @@ class OpenBins:
         self.bits, self.count, self.opened = 0, 0, 0
         self.by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
 
+    def open(self) -> set[int]:
+        return {sequence for stack in self.by_free for sequence in stack}
+
     def _take(self, free: int) -> int:
         stack = self.by_free[free]
         sequence = stack.pop()
@@ -125,32 +131,29 @@ class OpenBins:
 _TOKENS: dict[str, TokenIds] = {}  # one for each worker process
 
 
-def pack(
-    docs: DataFrame,
-    tokenizer_path: str,
-    capacity: int = 1024,
-    end_id: int = 2,
-    open_bins: int = 1024,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row for each piece of each document: where it stands and a checksum of its ids.
+NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
+TYPES = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
 
-    ``tokenizer_path`` must be readable on every executor. A null text is empty, and an
-    empty text is the end id alone. Only a document of more than ``capacity`` tokens is cut,
-    its first piece taking the remainder. A null id stays null, repeated ids are documents of
-    their own, an empty table gives no rows; other columns are not read.
+
+def _rows(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+
+
+def _first_pass(texts: DataFrame, tokenizer_path: str, capacity: int, end_id: int, open_bins: int) -> DataFrame:
+    """Pieces with their places, and ``open``: whether the task left the sequence open.
+
+    A sequence's rows wait until it is full or closed, so a task holds the rows of ``open_bins``
+    sequences at most.
     """
-    if capacity < 1 or open_bins < 1:
-        raise ValueError("capacity and open_bins must be positive")
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _TOKENS.get(tokenizer_path) or _TOKENS.setdefault(tokenizer_path, TokenIds(tokenizer_path))
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
+        waiting: dict[int, list[tuple]] = {}
         for batch in slices(batches, "text", 1 << 20):
-            out: list[list] = [[] for _ in range(7)]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = tokens(text.as_py() or "").tobytes() + end
                 total, start, piece = len(ids) // 4, 0, 0
@@ -158,12 +161,56 @@ def pack(
                     length = (total - start) % capacity or capacity
                     sequence, offset = bins.place(length)
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    for column, value in zip(out, (doc, piece, start, length, crc, base + sequence, offset)):
-                        column.append(value)
+                    row = (doc, piece, start, length, crc, base + sequence, offset, False)
+                    waiting.setdefault(sequence, []).append(row)
                     start, piece = start + length, piece + 1
-            types = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+            still = bins.open()
+            done = [row for sequence in [s for s in waiting if s not in still] for row in waiting.pop(sequence)]
+            yield _rows(done, [*NAMES, "open"], [*TYPES, pa.bool_()])
+        left = [(*row[:-1], True) for rows in waiting.values() for row in rows]
+        yield _rows(left, [*NAMES, "open"], [*TYPES, pa.bool_()])
+
+    return texts.mapInArrow(run, f"{SCHEMA}, open boolean")
+
 
+def _second_pass(pieces: DataFrame, count: int, capacity: int) -> DataFrame:
+    """``pieces`` in new sequences, longest first. No task has more of them than it may keep open."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = OpenBins(capacity, 2 * AGAIN)
+        base = SECOND + (TaskContext.get().partitionId() << SEQUENCE_BITS)
+        for batch in batches:
+            places = [bins.place(n) for n in batch.column("length").to_pylist()]
+            moved = [pa.array([x + base for x, _ in places], pa.int64()), pa.array([x for _, x in places], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in NAMES[:5]), *moved], NAMES)
+
+    dealt = pieces.repartition(-(-count // AGAIN), F.xxhash64("doc_id", "piece", "ids_crc32", "sequence_id"))
+    order = [F.col("length").desc(), F.col("doc_id"), F.col("piece"), F.col("sequence_id"), F.col("offset")]
+    return dealt.select(*NAMES).sortWithinPartitions(*order).mapInArrow(run, SCHEMA)
+
+
+def pack(
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = 1024,
+    end_id: int = 2,
+    open_bins: int = 1024,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row for each piece of each document: where it stands and a checksum of its ids.
+
+    ``tokenizer_path`` must be readable on every executor. A null text is empty, and an
+    empty text is the end id alone. Only a document of more than ``capacity`` tokens is cut,
+    its first piece taking the remainder. A null id stays null, repeated ids are documents of
+    their own, an empty table gives no rows; other columns are not read.
+    """
+    if capacity < 1 or open_bins < 1:
+        raise ValueError("capacity and open_bins must be positive")
     picked = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, SCHEMA)
+    placed = staged(_first_pass(picked, tokenizer_path, capacity, end_id, open_bins), "packed")
+    closed, left = placed.filter("NOT open").drop("open"), placed.filter("open").drop("open")
+    count = left.count()
+    if not count:
+        return closed
+    return closed.unionByName(_second_pass(left, count, capacity))

@@ -3,7 +3,8 @@
 Rules find well-formed addresses and numbers. On a bounded sample of the corpus their spans
 are the labels from which the network is trained; in use it reads every text in overlapping
 windows, so it also marks what only looks like such data: a malformed address, a card number
-with a wrong check digit. Each window is decoded on its own; the spans of a text's windows are
+with a wrong check digit. None of the four kinds can do without a digit or an at sign, so windows
+without either are passed over. Each window is decoded on its own; the spans of a text's windows are
 then reconciled as a whole. The rules' own spans always stay, and a span of the network is
 added where it overlaps none of them.
 """
@@ -37,6 +38,7 @@ HIDDEN = 8
 OTHER, NONE, CLASSES = 128, 129, 130
 #: Least log odds of a span against none in its place, by the scores of the two paths.
 LEAST_ODDS = 8.0
+IS_SIGN = np.array([chr(c) in "0123456789@" for c in range(CLASSES)])
 IN_WORD = np.array([chr(c).isalnum() for c in range(OTHER)] + [True, False])
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -99,6 +101,10 @@ class PiiModel:
         begin = np.array([s for some in starts for s in some], np.int64)
         bounds = np.cumsum([0, *map(len, codes)])
         joined = np.concatenate([*codes, np.full(WINDOW, NONE, np.uint8)]) if codes else np.zeros(0, np.uint8)
+        signs = np.concatenate([[0], np.cumsum(IS_SIGN[joined])])
+        ends = bounds[owner] + np.minimum(begin + WINDOW, bounds[owner + 1] - bounds[owner])
+        may = signs[ends] > signs[bounds[owner] + begin]
+        owner, begin = owner[may], begin[may]
         found: list[list[tuple[float, Span]]] = [[] for _ in texts]
         order = np.argsort(np.minimum(bounds[owner + 1] - bounds[owner] - begin, WINDOW), kind="stable")
         for part in np.split(order, range(AT_ONCE, len(order), AT_ONCE)):

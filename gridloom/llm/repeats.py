@@ -72,7 +72,9 @@ def _words(text: Column) -> Column:
     """The words; a text of none has one empty word."""
     inner = F.btrim(text, F.lit(BLANKS))
     unspaced = F.filter(F.transform(_tokens(text), _bare), lambda w: w != "")
-    return F.when(text.rlike(f"[{UNSPACED}]"), unspaced).otherwise(F.split(inner, f"[{BLANKS}]+"))
+    # Such scripts take three bytes a character; most texts are told by their length.
+    may = F.octet_length(text) >= F.char_length(text) + 2
+    return F.when(may & text.rlike(f"[{UNSPACED}]"), unspaced).otherwise(F.split(inner, f"[{BLANKS}]+"))
 
 
 def _least(values: Column, steps: tuple[int, ...]) -> Callable[[Column, Column], Column]:
@@ -94,17 +96,21 @@ def _selected(words: Column) -> Column:
     )
 
 
+def _hash(words: Column, start: Column, count: Column) -> Column:
+    return F.xxhash64(F.slice(words, start + 1, count))
+
+
 def _gram(words: Column, at: Column) -> Column:
-    return F.xxhash64(F.slice(words, at + 1, F.lit(GRAM)))
+    return _hash(words, at, F.lit(GRAM))
 
 
-def _context(words: Column, at: Column) -> Column:
+def _context(words: Column, place: Column) -> Column:
     """What the runs around a gram can reach: its hash, and the stretch from ``a`` to before ``b``."""
+    at = place["at"]
     a = F.greatest(at - (WINDOW - 1), F.lit(0))
     b = F.least(at + RUN, F.size(words))
     return F.struct(
-        _gram(words, at).alias("gram"),
-        F.xxhash64(at - a, F.slice(words, a + 1, b - a)).alias("context"),
+        place["gram"].alias("gram"), F.xxhash64(at - a, _hash(words, a, b - a)).alias("context"),
         at.alias("at"), a.alias("a"), b.alias("b"),
     )
 
@@ -121,12 +127,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "grams",
     )
     repeated = staged(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram"), "repeated")
-    places = staged(grams.join(repeated, "gram").groupBy("_id", "_key").agg(F.collect_set("at").alias("_places")), "places")
+    places = staged(grams.join(repeated, "gram").groupBy("_id", "_key").agg(F.collect_set(F.struct("at", "gram")).alias("_places")), "places")
     unstage(grams, repeated)
 
     held = staged(texts.join(places, ["_id", "_key"]), "held")
     around = staged(
-        held.select("_id", "_key", F.explode(_let(words, lambda w: F.transform("_places", lambda at: _context(w, at)))).alias("_c"))
+        held.select("_id", "_key", F.explode(_let(words, lambda w: F.transform("_places", lambda p: _context(w, p)))).alias("_c"))
         .select("_id", "_key", "_c.*"),
         "around",
     )
@@ -139,7 +145,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def windows(w: Column) -> Column:
         starts = lambda at: F.sequence(F.greatest(at - (WINDOW - 1), F.lit(0)), F.least(at, F.size(w) - RUN))
         every = F.array_distinct(F.flatten(F.transform("_ends", starts)))
-        return F.transform(every, lambda at: F.struct(F.xxhash64(F.slice(w, at + 1, F.lit(RUN))).alias("run"), at.alias("at")))
+        return F.transform(every, lambda at: F.struct(_hash(w, at, F.lit(RUN)).alias("run"), at.alias("at")))
 
     runs = staged(
         held.join(ends, ["_id", "_key"]).select("_id", "_key", F.explode(_let(words, windows)).alias("_r")).select("_id", "_key", "_r.*"),

@@ -1,10 +1,12 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on a bounded sample of labelled texts: one on the
-frequent words of ordinary texts, one on those and the words that mark toxic texts. A text is
-cut into windows of some words; a window that the toxic dictionary shortens more than the
-ordinary one speaks for toxicity. How far and how often it does so is calibrated to a
-probability by a logistic fit on the same sample.
+zstandard trains one dictionary on windows of ordinary texts and one on windows of toxic texts, both
+from a bounded sample of labelled texts. What the toxic dictionary holds of ordinary language would
+blur the comparison, so of its words only those stay that are significantly and mostly in
+toxic texts, and they are put behind the ordinary dictionary's content. Each window of a text is then
+compressed with either; what the toxic one saves is its gain. How far and how often windows
+gain is calibrated to a probability by a logistic fit on gains that are measured out of
+fold: each third of the sample by dictionaries trained on the other two.
 """
 
 from __future__ import annotations
@@ -23,13 +25,17 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import slices
 from gridloom.llm.fitting import logistic, sigmoid
 
-WINDOW_BYTES = 60
-LEVEL = 1
-BASE_WORDS = 2000
-#: A mark must be this many standard errors more frequent in toxic texts, and this pure.
-LEAST_Z, LEAST_PURITY = 6.0, 0.95
-#: Beginnings of words, in bytes, by which rare forms of a mark are told.
-STEMS = (5, 6, 7)
+WINDOW_BYTES = 90
+LEVEL = 3
+#: Sizes of the trained dictionaries, and zstandard's lengths of segments and of the parts it counts.
+ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 32 << 10
+SEGMENT, PART = 32, 6
+#: Text of a class that the dictionaries are trained on.
+TRAIN_BYTES, TRAIN_WINDOW = 8 << 20, 60
+#: A word stays in the toxic dictionary if at least so many toxic texts hold it, if it is so many
+#: standard errors more frequent in toxic texts, and if so much of its rate is theirs.
+LEAST_TEXTS, LEAST_Z, LEAST_PURITY = 4, 4.0, 0.9
+PARTS = 3
 FOLDS = 5
 
 _KEPT = bytes(ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(128)) + bytes(range(128, 256))
@@ -40,11 +46,11 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_KEPT).split()
 
 
-def windows(text: str | None) -> list[bytes]:
-    """Words in stretches of ``WINDOW_BYTES`` or a little more, with a blank at either end."""
+def windows(text: str | None, size: int = WINDOW_BYTES) -> list[bytes]:
+    """Words in stretches of ``size`` bytes or a little more, with a blank at either end."""
     joined, out, at = b" ".join(words(text)), [], 0
     while at < len(joined):
-        end = joined.find(b" ", at + WINDOW_BYTES)
+        end = joined.find(b" ", at + size)
         end = len(joined) if end < 0 else end
         out.append(b" " + joined[at:end] + b" ")
         at = end + 1
@@ -66,17 +72,20 @@ class ToxicityModel:
     def compressors(self) -> list[zstd.ZstdCompressor]:
         found = []
         for content in (self.ordinary, self.toxic):
-            trained = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
-            trained.precompute_compress(level=LEVEL)
-            found.append(zstd.ZstdCompressor(level=LEVEL, dict_data=trained))
+            # As raw content, so that both code what they do not hold alike.
+            raw = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+            raw.precompute_compress(level=LEVEL)
+            found.append(zstd.ZstdCompressor(
+                level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False
+            ))
         return found
 
     def features(self, text: str | None) -> list[float]:
-        ordinary, toxic = self.compressors
-        gain = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(text)] or [0])
+        ordinary, toxic = (c.compress for c in self.compressors)
+        gain = np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)] or [0])
         return [
-            gain.max(), np.sort(gain)[-3:].mean(), (gain >= 3).mean(),
-            np.log1p((gain >= 3).sum()), np.log1p((gain >= 5).sum()), np.log1p(len(gain)),
+            gain.max(), np.sort(gain)[-3:].mean(), (gain >= 1).mean(), np.log1p((gain >= 1).sum()),
+            np.log1p((gain >= 2).sum()), np.log1p((gain >= 4).sum()), np.log1p(len(gain)),
         ]
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -84,53 +93,64 @@ class ToxicityModel:
         return sigmoid(x @ self.weights)
 
 
-def _forms(text: str) -> set[bytes]:
-    """The words of a text, each with a blank behind it, and their stems without."""
-    found = set(words(text))
-    return {w + b" " for w in found} | {w[:k] for w in found for k in STEMS if len(w) > k}
+def trained(texts: Sequence[str], size: int) -> bytes:
+    """The content of a dictionary that zstandard trains on the texts' windows. Too little text to
+    train on is its own dictionary."""
+    found, total = [], 0
+    for text in texts:
+        for window in windows(text, TRAIN_WINDOW):
+            found.append(window)
+            total += len(window)
+        if total > TRAIN_BYTES:
+            break
+    try:
+        return bytes(zstd.train_dictionary(size, found, k=SEGMENT, d=PART).as_bytes())
+    except zstd.ZstdError:
+        return b"".join(found)[-size:]
 
 
 def train_dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionary contents; what weighs most stands last, where it is cheapest."""
-    in_toxic: Counter[bytes] = Counter()
-    in_ordinary: Counter[bytes] = Counter()
-    for counts, texts in ((in_toxic, toxic), (in_ordinary, ordinary)):
-        for text in texts:
-            counts.update(_forms(text))
+    """(ordinary, toxic) dictionary contents; the surest words stand last, where they are cheapest."""
     n1, n0 = len(toxic), len(ordinary)
+    in_toxic, in_ordinary = (Counter(w for text in texts for w in set(words(text))) for texts in (toxic, ordinary))
 
-    def z(form: bytes) -> float:
-        share = (in_toxic[form] + in_ordinary[form] + 1) / (n1 + n0 + 1)
+    def z(word: bytes) -> float:
+        share = (in_toxic[word] + in_ordinary[word] + 1) / (n1 + n0 + 1)
         error = (share * (1 - share) * (1 / n1 + 1 / n0)) ** 0.5
-        return (in_toxic[form] / n1 - in_ordinary[form] / n0) / max(error, 1e-9)
+        return (in_toxic[word] / n1 - in_ordinary[word] / n0) / max(error, 1e-9)
 
-    def pure(form: bytes) -> bool:
-        rate = in_toxic[form] / n1
-        return rate >= LEAST_PURITY * (rate + in_ordinary[form] / n0)
+    def stays(word: bytes) -> bool:
+        rate = in_toxic[word] / n1
+        pure = rate >= LEAST_PURITY * (rate + (in_ordinary[word] + 0.5) / n0)
+        return in_toxic[word] >= LEAST_TEXTS and pure and z(word) >= LEAST_Z
 
-    weight = {form: z(form) for form in in_toxic}
-    stems = {form for form, v in weight.items() if v > LEAST_Z and form[-1:] != b" " and pure(form)}
-    marks = [
-        form for form, v in weight.items()
-        if form[-1:] == b" " and pure(form) and (v > LEAST_Z or any(form[:k] in stems for k in STEMS))
-    ]
-    marks.sort(key=lambda form: (weight[form], form))
-    known = set(marks)
-    frequent = [f for f, _ in sorted(in_ordinary.items(), key=lambda x: (-x[1], x[0])) if f[-1:] == b" " and f not in known]
-    base = b" " + b"".join(reversed(frequent[:BASE_WORDS]))
-    return base, base + b"".join(marks)
+    base = trained(ordinary, ORDINARY_BYTES)
+    marks = sorted((w for w in set(trained(toxic, TOXIC_BYTES).split(b" ")) if stays(w)), key=lambda w: (z(w), w))
+    return base, base + b"".join(b" " + w + b" " for w in marks)
 
 
 def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> ToxicityModel | None:
     """A model of labelled texts, or None where a class has none."""
     if not toxic or not ordinary:
         return None
-    model = ToxicityModel(*train_dictionaries(toxic, ordinary), np.zeros(6), np.ones(6), np.zeros(7))
-    x = np.array([model.features(t) for t in [*toxic, *ordinary]])
-    model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
-    y = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
-    model.weights = logistic(np.c_[(x - model.mean) / model.scale, np.ones(len(x))], y)
-    return model
+
+    def model(a: Sequence[str], b: Sequence[str]) -> ToxicityModel:
+        return ToxicityModel(*train_dictionaries(a, b), np.zeros(7), np.ones(7), np.zeros(8))
+
+    x, y = [], []
+    for part in range(PARTS):
+        mine, others = ([[t for i, t in enumerate(texts) if (i % PARTS == part) == own] for texts in (toxic, ordinary)] for own in (True, False))
+        if not all(others):  # too few texts to hold any out
+            others = [toxic, ordinary]
+        apart = model(*others)
+        for label, texts in zip((1, 0), mine):
+            x += [apart.features(t) for t in texts]
+            y += [label] * len(texts)
+    x, y = np.array(x, float), np.array(y, float)
+    whole = model(toxic, ordinary)
+    whole.mean, whole.scale = x.mean(0), x.std(0) + 1e-9
+    whole.weights = logistic(np.c_[(x - whole.mean) / whole.scale, np.ones(len(x))], y)
+    return whole
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -184,7 +204,7 @@ def with_score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, 1 << 20):
-            x = np.array([model.features(t.as_py()) for t in batch.column(text_col)], float).reshape(-1, 6)
+            x = np.array([model.features(t.as_py()) for t in batch.column(text_col)], float).reshape(-1, 7)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*names, "_score"])
 
     return docs.mapInArrow(run, f"{kept}, _score double")

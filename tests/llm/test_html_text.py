@@ -29,10 +29,22 @@ from gridloom.llm.html_text import visible_text
         ("<script>if (a<b) '</p>'</script>a<!-- no --><style>p{}</style>b<title>t</title>", "ab"),
         ("<template><p>no</template><noscript>no</noscript>yes", "yes"),
         ("<details>no<summary>s</summary><p>no</details><details open><summary>t</summary>u</details>", "s\nt\nu"),
-        ("<select><option>a<option>b</select>", "ab"), ("<textarea>\n<p> x</textarea>", "<p> x"),
+        ("<select><option>a<option>b</select>", "a\nb"), ("<textarea>\n<p> x</textarea>", "<p> x"),
         ("<dl><dt>T<dd>D<dd>E</dl>", "T\n    D\n    E"), ("<blockquote>q<p>r</blockquote>", "> q\n\n> r"),
-        ("<input type=submit value='Go'><input value=no>", "Go"), ("a&nbsp;&nbsp;b", "a  b"),
+        ("<input type=submit value='Go'><input value='a  b'><input type=hidden value=no>c", "Go a b c"), ("a&nbsp;&nbsp;b", "a  b"),
         ("<p title='a>b'>x", "x"), ("<a href=x>1<a href=y>2", "12"), ("<body hidden>no", ""), ("<li>a<li>b", "• a\n• b"),
+        ("<table><tr><td>a<td rowspan=2>b<tr><td>c<tr><td>d<td>e</table>", "a  b\nc\nd  e"),
+        ("<table><tr><td rowspan=3>a<td>b<tr><td>c<tr><td>d<tr><td>e<td>f</table>", "a  b\n   c\n   d\ne  f"),
+        ("<b>x<p>y</b>z</p>w", "x\n\nyz\n\nw"), ("<i>a<ul><li>b</i>c</ul>d", "a\n\n• bc\n\nd"),
+        ("a<span style='display:block'>b</span>c", "a\nb\nc"), ("<style>.l{display:flex}</style>a<a class=l>b</a><a class=l>c</a>", "a\nb\nc"),
+        ("<input placeholder='your name'><input type=password value=no><input type=submit>", "your name"),
+        ("<style>.a{display:none !important} #i{display:block}</style><p id=i class=a style='display:block'>no</p>yes", "yes"),
+        ("<style>p{display:none !important} p{display:block}</style><p style='display:block!important'>yes</p><p>no", "yes"),
+        ("<style>.a.b{display:none}</style><i class='a'>x</i><i class='b c a'>no</i>", "x"),
+        ("<style>.nav .c{display:none}</style><div class=nav><p><i class=c>no</i>x</div><i class=c>y</i>", "x\n\ny"),
+        ("<style>div>p.c, ul > li > i{display:none}</style><div><p class=c>no</p><b><p class=c>x</p></b></div><ul><li><i>no</i>y</ul>", "x\n\n• y"),
+        ("<style>p:hover{display:none} [x]{display:none} p+p{display:none}</style><p x>a<p>b", "a\n\nb"),
+        ("<table><tr><td>漢字<td>x<tr><td>abc<td>y<tr><td>e\u0301e<td>z</table>", "漢字  x\nabc   y\ne\u0301e    z"),
         ("t<!-- open", "t"), ("<p", "<p"), ("</table></td></tr>a", "a"), ("<tr><td>a", "a"),
     ],
 )

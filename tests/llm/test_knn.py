@@ -35,7 +35,7 @@ def test_ties_hot_vector_and_blocks(spark):
     data = [(i, rng.integers(-30, 30, 5).tolist()) for i in range(300)]
     data += [(1000 + i, [9, 9, 9, 9, 9]) for i in range(200)] + [(2000, []), (2001, [40])]
     queries = [d for d in data if d[0] % 10 == 0]
-    assert run(spark, queries, data, k=5, block_rows=64, block_queries=8, pivots=4) == brute(queries, data, 5)
+    assert run(spark, queries, data, k=5, block_bytes=1200, pivots=4) == brute(queries, data, 5)
     assert run(spark, queries, data, k=5) == brute(queries, data, 5)
 
 
@@ -52,6 +52,32 @@ def test_repeated_ids_and_few_candidates(spark):
 def test_products_beyond_floats_are_exact(spark):
     data = [(i, [2**31 + i, 2**30 - i]) for i in range(20)]
     assert run(spark, data[:3], data, k=4) == brute(data[:3], data, 4)
+    small = [(0, [2**40, 0]), (1, [0, 2**40]), (2, [3, 4])]  # a bound is beyond 64 bits, no product is
+    with pytest.raises(Exception, match="does not fit"):
+        run(spark, small[:1], [*small, (3, [2**40, 0])], k=3)
+
+
+def test_overflow_is_an_error(spark):
+    data = [(0, [3 * 10**12] * 2), (1, [3 * 10**12] * 2)]
+    with pytest.raises(Exception, match="does not fit a 64-bit integer"):
+        run(spark, data, data)
+    frame = spark.createDataFrame([(0, [1e300])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large for a 64-bit integer"):
+        knn.integer_vectors(frame).collect()
+
+
+def test_clustered_vectors_are_pruned(spark):
+    """Each query meets its own cluster and few others."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-2000, 2000, (24, 8))
+    data = [(i, (centres[i % 24] + rng.integers(-20, 20, 8)).tolist()) for i in range(2400)]
+    queries = [d for d in data if d[0] % 100 == 0]
+    assert run(spark, queries, data) == brute(queries, data, 10)
+    vectors, asked = (np.array([v for _, v in rows]) for rows in (data, queries))
+    cell, far = knn._nearest(vectors, centres)
+    groups = knn.Groups(centres, np.bincount(cell), np.array([far[cell == c].max() for c in range(24)]))
+    kth = np.sort(asked @ vectors.T, axis=1)[:, -11].astype(float)  # the home group's, and its own row
+    assert len(groups.visits(asked, None)[0]) + len(groups.visits(asked, kth)[0]) < 4 * len(queries)
 
 
 def test_integer_vectors(spark):

@@ -29,7 +29,7 @@ def test_held_out_accuracy_on_the_query(spark):
     toxic = np.array([s for y, s in held if y])
     clean = np.array([s for y, s in held if not y])
     ranked = (toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2
-    assert ranked > 0.88 and (clean >= 0.5).mean() < 0.04 and (toxic >= 0.5).mean() > 0.45
+    assert ranked > 0.9 and (clean >= 0.5).sum() <= 16 and (toxic >= 0.5).sum() > 60 and (len(toxic), len(clean)) == (97, 728)
 
 
 def rows(spark, n=400):
