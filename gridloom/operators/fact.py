@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.keys import date_key, time_key
 from gridloom.functions.tariff import TARIFF_RATES, energy_cost, peak_demand, tariff_rate
 from gridloom.operators.merge import merge_upsert
+from gridloom.operators.skew import heavy_keys, salted_join
 from gridloom.operators.staging import only_batches
 
 GRAIN = ("meter_key", "date_key", "time_key")
@@ -21,6 +22,14 @@ FACT_UPDATE_COLS = (
 )
 
 
+WEATHER_KEYS = ("location_id", "reading_date", "reading_hour")
+
+
+def hot_hours_of(stg: DataFrame, profile: DataFrame, share: float = 0.05) -> list[int]:
+    """Places and hours with at least ``share`` of the readings, by one pass with a sketch."""
+    return heavy_keys(stg.join(profile.select("meter_id", "location_id"), "meter_id"), WEATHER_KEYS, share)
+
+
 def hourly_weather(weather: DataFrame) -> DataFrame:
     """The latest observation of each location and hour, as a hash aggregate with map-side partials."""
     return weather.groupBy("location_id", "observation_date", "observation_hour").agg(
@@ -52,9 +61,13 @@ def build_fact_consumption(
     batch_ids=None,
     rates: Mapping[tuple[str, bool], Decimal] = TARIFF_RATES,
     stg_id: str = "_raw_id",
+    hot_hours: Sequence[int] = (),
 ) -> DataFrame:
     """One row per (meter, day, quarter-hour slot).
 
+    ``hot_hours`` are the places and hours that hold much of all readings, as found by
+    :func:`hot_hours_of`; their readings meet the weather in several tasks.
+
     Only the calendar carries broadcast hints: it holds one row per day and one per slot
     of a day, and its few keys would make a hopeless shuffle. Every other side is
     broadcast when Spark finds it under the session's threshold and shuffled with skew
@@ -87,7 +100,7 @@ def build_fact_consumption(
             F.col("observation_hour").alias("reading_hour"),
             "temperature_c",
         )
-        joined = joined.join(hourly, ["location_id", "reading_date", "reading_hour"], "left")
+        joined = salted_join(joined, hourly, WEATHER_KEYS, hot_hours)
     priced = joined.withColumn("_rate", tariff_rate(F.col("tariff_type"), F.col("is_peak_hour"), rates))
     # Everything but the reading itself depends on the grain alone.
     fixed = ("customer_key", "location_key", "temperature_c", "is_peak_hour", "is_weekend", "_rate")

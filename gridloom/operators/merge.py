@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.latest import keep_latest
@@ -17,9 +17,15 @@ def merge_upsert(
     update_cols: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
     touch_cols: Sequence[str] = (),
+    newer: str | None = None,
 ) -> DataFrame:
     """Last writer wins on ``keys``; the result has the target's columns.
 
+    With ``newer`` an update counts only where that column is greater than the stored one.
+    A NULL in a key matches nothing, so such a row is added again by each merge; staging and the
+    warehouse keep them out. (Null-safe equality would cost a target that is already
+    partitioned by its keys another shuffle.)
+
     On a match only ``update_cols`` and ``touch_cols`` come from the update, every
     other column keeps the stored value. ``order`` reduces repeated keys in
     ``updates`` first. Keys are unique on both sides of the one full outer join,
@@ -34,6 +40,9 @@ def merge_upsert(
     old = target.withColumn("_old", F.lit(True)).alias("o")
     new = updates.withColumn("_new", F.lit(True)).alias("n")
     match = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
+    counts = F.col("n._new")
+    if newer:
+        counts = counts & (F.col("o._old").isNull() | (F.col(f"n.{newer}") > F.col(f"o.{newer}")))
 
     def pick(name: str):
         stored = F.col(f"o.{name}")
@@ -43,7 +52,7 @@ def merge_upsert(
             return stored.alias(name)
         given = F.col(f"n.{name}").cast(target.schema[name].dataType)
         if name in from_update:
-            return F.when(F.col("n._new"), given).otherwise(stored).alias(name)
+            return F.when(counts, given).otherwise(stored).alias(name)
         return F.when(F.col("o._old"), stored).otherwise(given).alias(name)
 
     return old.join(new, match, "full_outer").select(*[pick(c) for c in target.columns])
@@ -58,6 +67,30 @@ def holds(rows: DataFrame, not_null: Sequence[str]) -> Column:
     return F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
 
 
+def with_copies(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_copies``, how many share their key. The shuffle is the one that a merge on
+    ``keys`` needs anyway."""
+    return rows.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+
+
+def violations(required: Sequence[str]) -> list[Column]:
+    """What an observation of rows with ``_copies`` counts: rows, rows of repeated keys, NULLs by column."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_copies") > 1).alias("repeated"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required],
+    ]
+
+
+def refused_rows(rows: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+    """The rows for which a write under these rules is refused, with the ``refusal``."""
+    needed = [c for c in dict.fromkeys([*keys, *required]) if c in rows.columns]
+    refusal = F.coalesce(
+        *[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in needed], F.when(F.col("_copies") > 1, F.lit("repeated_key"))
+    )
+    return with_copies(rows, keys).withColumn("refusal", refusal).filter("refusal IS NOT NULL").drop("_copies")
+
+
 def absent_rows(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key the target lacks."""
     return new.join(target.select(*keys), list(keys), "left_anti").select(*new.columns)

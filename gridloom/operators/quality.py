@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.keys import instant
 from gridloom.functions.text import strip
 from gridloom.operators.merge import duplicate_keys
-from gridloom.operators.quantiles import group_quantiles, join_groups
+from gridloom.operators.quantiles import group_quantiles, join_groups, merge_states, state_moments, state_quantiles
 
 
 @dataclass(frozen=True)
@@ -128,8 +128,8 @@ def outlier_bounds(
 ) -> DataFrame:
     """Quartiles, fences, mean and deviation per group.
 
-    ``exact`` uses the bounded radix selection of :mod:`gridloom.operators.quantiles`;
-    otherwise a mergeable sketch (``percentile_approx``) is enough.
+    ``exact`` uses the bounded selection of :mod:`gridloom.operators.quantiles`;
+    otherwise ``percentile_approx`` is enough. :func:`period_bounds` works from kept states.
     """
     number = F.col(value).cast("double")
     moments = [F.avg(number).alias("mean"), F.stddev_samp(number).alias("deviation")]
@@ -141,12 +141,25 @@ def outlier_bounds(
         bounds = df.groupBy(*keys).agg(*moments, both.alias("_q")).withColumns(
             {"q1": F.col("_q")[0], "q3": F.col("_q")[1]}
         ).drop("_q")
+    return _with_fences(bounds, factor)
+
+
+def _with_fences(bounds: DataFrame, factor: float) -> DataFrame:
     spread = F.col("q3") - F.col("q1")
     return bounds.withColumns(
         {"low": F.col("q1") - factor * spread, "high": F.col("q3") + factor * spread}
     )
 
 
+def period_bounds(states: DataFrame, keys: Sequence[str], factor: float = 1.5) -> DataFrame:
+    """Quartiles, fences, mean and deviation per group from its kept states; no reading is read.
+
+    ``states`` are those of the period, for instance of its days.
+    """
+    merged = state_moments(state_quantiles(merge_states(states, keys), {"q1": 0.25, "q3": 0.75}))
+    return _with_fences(merged, factor).select(*keys, "n", "q1", "q3", "low", "high", "mean", "deviation")
+
+
 def flag_outliers(
     df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5, z_limit: float = 3.0,
     exact: bool = True,

@@ -16,24 +16,29 @@ from gridloom.functions.text import blank_to_null, is_negative_number, looks_lik
 from gridloom.operators import marts, quality, scd2
 from gridloom.operators.calendar import build_dim_date, build_dim_time
 from gridloom.operators.dims import TRACKED, build_dim_meter, merge_dim_customer, upsert_dim_location
-from gridloom.operators.fact import build_fact_consumption, hourly_weather, meter_profile, upsert_fact
+from gridloom.operators.fact import build_fact_consumption, hot_hours_of, hourly_weather, meter_profile, upsert_fact
 from gridloom.operators.merge import (
-    absent_rows, duplicate_keys, insert_if_absent, merge_upsert, null_violations, orphan_rows,
+    ConstraintError, duplicate_keys, insert_if_absent, merge_upsert, null_violations, orphan_rows, refused_rows,
 )
 from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER
 from gridloom.operators.surrogate import assign_keys
 from gridloom.plans import oracle_parts as o
+from gridloom.plans import standing
 from gridloom.plans.ingest import ingest_files, ingest_reference
-from gridloom.plans.ledger import load_summary
-from gridloom.plans.pipeline import METER_FEED, TELEMETRY_FEED, WEATHER_FEED, backfill, run_day
+from gridloom.plans.ledger import batches_with_fallback, load_summary, loaded_between, split_candidates
+from gridloom.plans.pipeline import (
+    METER_FEED, TELEMETRY_FEED, WEATHER_FEED, backfill, log_checks, log_metrics, period_states, refresh_states, run_day,
+    stage_batches,
+)
 from gridloom.schemas import (
-    DIM_CUSTOMER, DIM_LOCATION, DIM_METER, FACT_CONSUMPTION, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS,
+    DIM_CUSTOMER, DIM_LOCATION, DIM_METER, DQ_QUARANTINE, FACT_CONSUMPTION, LOAD_LEDGER, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS,
     RAW_READINGS, RAW_TELEMETRY, RAW_WEATHER, STG_READINGS,
 )
 from gridloom.session import scratch_dir
 from gridloom.sources import fixtures as fx
-from gridloom.sources.landing import METER_FILES, TELEMETRY_FILES, WEATHER_FILES
+from gridloom.sources.landing import METER_FILES, TELEMETRY_FILES, WEATHER_FILES, list_files
 from gridloom.sources.warehouse import Warehouse
+from gridloom.streaming.corrections import stream_corrections
 from gridloom.streaming.incremental import incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,26 +382,32 @@ def upsert_readings(spark, sf):
     )
 
 
-def _register_upsert(name, feed, part, cte, table, rows, mode):
-    """Half of the staged rows is stored with stale values; the update refreshes them and adds the rest."""
-    keys, kept = feed.stage.keys, [c for c in feed.stage.columns if c not in feed.update_cols]
+def _register_upsert(name, feed, part, cte, table, rows, mode, stale):
+    """Half of the staged rows is stored with ``stale`` values (column: Spark, SQL); the update holds two
+    thirds of them. Stored rows that it lacks stay as they are, and so do columns that are not updated."""
+    keys = feed.stage.keys
     refreshed = [c for c in feed.update_cols if c != "_loaded_at"]
-    measure = next(c for c in feed.update_cols if c in feed.stage.columns)
-    columns = ", ".join(f"u.{c}" for c in (*kept, *refreshed))
+    stored, updated = "_raw_id % 2 = 0", "_raw_id % 3 <> 0"
+
+    def shown(c: str) -> str:
+        if c not in stale:
+            return f"u.{c}"
+        old = stored if c not in refreshed else f"{stored} AND NOT {updated}"
+        return f"CASE WHEN {old} THEN {stale[c]} ELSE u.{c} END AS {c}"
 
-    @register(name, o.sql(f"SELECT {columns} FROM {table} u", part, cte))
+    columns = ", ".join(shown(c) for c in (*feed.stage.columns, "_raw_id", "_batch_id"))
+
+    @register(name, o.sql(f"SELECT {columns} FROM {table} u WHERE {stored} OR {updated}", part, cte))
     def run(spark, sf):
         fresh = feed.stage.stage(rows(spark, sf), mode=mode)
-        stored = fresh.filter(F.col("_raw_id") % 2 == 0).withColumns(
-            {measure: F.lit(None).cast(fresh.schema[measure].dataType), "_batch_id": F.lit("old")}
-        )
-        return merge_upsert(stored, fresh, keys, refreshed)
+        old = fresh.filter(stored).withColumns({c: F.expr(v).cast(fresh.schema[c].dataType) for c, v in stale.items()})
+        return merge_upsert(old, fresh.filter(updated), keys, refreshed)
 
 
-_register_upsert("upsert_weather", WEATHER_FEED, o.RAW_WEATHER, o.STAGED_WEATHER, "staged_weather",
-                 fx.raw_weather, "default")
+_register_upsert("upsert_weather", WEATHER_FEED, o.RAW_WEATHER, o.STAGED_WEATHER, "staged_weather", fx.raw_weather,
+                 "default", {"temperature_c": "-99.9", "observation_hour": "-1", "_batch_id": "'old'"})
 _register_upsert("upsert_telemetry", TELEMETRY_FEED, o.RAW_TELEMETRY, o.STAGED_TELEMETRY, "staged_telemetry",
-                 fx.raw_telemetry, "reference")
+                 fx.raw_telemetry, "reference", {"sensor_value": "-1.0", "unit": "'old'", "_batch_id": "'old'"})
 
 
 @register(
@@ -652,6 +663,17 @@ def weather_enrich(spark, sf):
     )
 
 
+@register("fact_consumption_hot", ORACLES["fact_consumption"])
+def fact_consumption_hot(spark, sf):
+    """The fact with the busiest places and hours dealt to several tasks each."""
+    profile = meter_profile(*star(spark, sf))
+    hot = hot_hours_of(staged(spark, sf), profile, 0.0005)
+    rows = build_fact_consumption(
+        staged(spark, sf), profile, build_dim_date(spark), build_dim_time(spark), staged_weather(spark, sf), hot_hours=hot
+    )
+    return with_ids(rows, *star(spark, sf))
+
+
 @register(
     "fact_upsert",
     o.sql(
@@ -675,79 +697,80 @@ def fact_upsert(spark, sf):
 
 # --- batch bookkeeping ----------------------------------------------------
 
-_FILES = """files AS (SELECT _source_file, any_value(_batch_id) AS _batch_id, count(*) AS row_count
-  FROM raw_readings GROUP BY _source_file)"""
-_LOADED = "CAST(substring(_source_file, 18, 2) AS INTEGER) % 2 = 0"
 
+def _uuid(text: str) -> str:
+    """SQL of the library's batch id: the digest of table and file in the shape of a UUID."""
+    cuts = ", ".join(f"substring(md5({text}), {at}, {size})" for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"concat_ws('-', {cuts})"
 
-def _file_counts(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("_source_file", "_batch_id").agg(F.count(F.lit(1)).alias("row_count"))
 
-
-def _even_day() -> Column:
-    return F.substring("_source_file", 18, 2).cast("int") % 2 == 0
+_DAY_OF_FILE = "CAST(substring(_source_file, 18, 2) AS INTEGER)"
+_FILES = "files AS (SELECT _source_file, count(*) AS row_count FROM raw_readings GROUP BY _source_file)"
 
 
 @register(
     "batch_lookup_fallback",
     o.sql(
-        """SELECT day, coalesce(
-            (SELECT any_value(_batch_id) FROM raw_weather w WHERE w._source_file = 'weather_' || day || '.csv'
-               AND CAST(right(day, 2) AS INTEGER) % 2 = 0),
-            md5('weather.csv')) AS weather_batch
-        FROM (SELECT DISTINCT substring(CAST(ts AS VARCHAR), 1, 10) AS day FROM events)""",
-        o.RAW_WEATHER,
+        f"""SELECT day, {_uuid("'raw.raw_weather_data:' || CASE WHEN CAST(right(day, 2) AS INTEGER) % 2 = 0 "
+                               "THEN 'weather_' || day || '.csv' ELSE 'weather.csv' END")} AS weather_batch
+        FROM (SELECT DISTINCT substring(CAST(ts AS VARCHAR), 1, 10) AS day FROM events)"""
     ),
 )
 def batch_lookup_fallback(spark, sf):
-    """Days without their own weather file use the batch of the shared one."""
+    """Even days bring a weather file of their own; the others take the batch of the shared one."""
+    wh, landing = _new_warehouse(spark), scratch_dir(spark, "landing")
+    rows = fx.raw_weather(spark, sf)
+    even = F.substring("_source_file", 17, 2).cast("int") % 2 == 0
+    fx.write_landed(rows.withColumn("_source_file", F.when(even, F.col("_source_file")).otherwise("weather.csv")), landing)
+    ingest_files(wh, WEATHER_FILES, landing, fx.FIRST_RUN)
     days = fx.table(spark, sf, "events").select(F.substring(F.col("ts").cast("string"), 1, 10).alias("day")).distinct()
-    own = (
-        fx.raw_weather(spark, sf)
-        .groupBy("_source_file", "_batch_id").count()
-        .select(F.regexp_extract("_source_file", r"weather_(.*)\.csv", 1).alias("day"), "_batch_id")
-        .filter(F.substring("day", -2, 2).cast("int") % 2 == 0)
-    )
-    return days.join(own, "day", "left").select(
-        "day", F.coalesce("_batch_id", F.md5(F.lit("weather.csv").cast("binary"))).alias("weather_batch")
+    wanted = days.select(
+        "day", F.concat(F.lit("weather_"), "day", F.lit(".csv")).alias("preferred"), F.lit("weather.csv").alias("fallback")
     )
+    found = batches_with_fallback(wh.read(LOAD_LEDGER), WEATHER_FILES.source_table, wanted)
+    return found.select("day", F.col("batch_id").alias("weather_batch"))
 
 
-@register(
-    "ledger_pending",
-    o.sql(f"SELECT _source_file FROM files WHERE NOT ({_LOADED})", o.RAW_READINGS, _FILES),
-)
+def _half_loaded(spark, sf) -> tuple[Warehouse, str]:
+    """Readings of which the first nine days are loaded."""
+    wh, folder = _new_warehouse(spark), f"{_landing(spark, sf, 'readings')}/meter_readings"
+    ingest_files(wh, METER_FILES, folder, fx.FIRST_RUN, "readings_????-??-0*.csv")
+    return wh, folder
+
+
+@register("ledger_pending", o.sql(f"SELECT _source_file FROM files WHERE {_DAY_OF_FILE} >= 10", o.RAW_READINGS, _FILES))
 def ledger_pending(spark, sf):
-    files = _file_counts(fx.raw_readings(spark, sf))
-    return absent_rows(files.filter(_even_day()), files.select("_source_file"), ["_source_file"])
+    wh, folder = _half_loaded(spark, sf)
+    files = list_files(spark, folder, METER_FILES.pattern)
+    candidates = split_candidates(files, wh.read(LOAD_LEDGER), METER_FILES.source_table)
+    return candidates.filter("existing_rows IS NULL").select(
+        F.regexp_replace("source_file", r"\.part\d+", "").alias("_source_file")
+    ).distinct()
 
 
 @register(
     "load_metrics",
     o.sql(
-        f"""SELECT CASE WHEN {_LOADED} THEN 'skipped' ELSE 'success' END AS status, _source_file AS file,
-          _batch_id AS batch_id, row_count AS rows_read,
-          CASE WHEN {_LOADED} THEN 0 ELSE row_count END AS rows_inserted FROM files""",
+        f"""SELECT CASE WHEN {_DAY_OF_FILE} < 10 THEN 'skipped' ELSE 'success' END AS status, _source_file AS file,
+          CAST(CASE WHEN {_DAY_OF_FILE} < 10 THEN 0 ELSE row_count END AS BIGINT) AS rows_read,
+          CAST(CASE WHEN {_DAY_OF_FILE} < 10 THEN 0 ELSE row_count END AS BIGINT) AS rows_inserted FROM files""",
         o.RAW_READINGS, _FILES,
     ),
 )
 def load_metrics(spark, sf):
-    files = _file_counts(fx.raw_readings(spark, sf))
-    return files.select(
-        F.when(_even_day(), "skipped").otherwise("success").alias("status"),
-        F.col("_source_file").alias("file"),
-        F.col("_batch_id").alias("batch_id"),
-        F.col("row_count").alias("rows_read"),
-        F.when(_even_day(), F.lit(0)).otherwise(F.col("row_count")).cast("bigint").alias("rows_inserted"),
+    wh, folder = _half_loaded(spark, sf)
+    metrics = ingest_files(wh, METER_FILES, folder, fx.SECOND_RUN)
+    return metrics.groupBy("status", F.regexp_replace("file", r"\.part\d+", "").alias("file")).agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("rows_inserted").alias("rows_inserted")
     )
 
 
 @register(
     "load_summary",
     o.sql(
-        f"""SELECT CAST(count(*) FILTER (WHERE NOT ({_LOADED})) AS BIGINT) AS loaded,
-          CAST(count(*) FILTER (WHERE {_LOADED}) AS BIGINT) AS skipped,
-          CAST(sum(CASE WHEN {_LOADED} THEN 0 ELSE row_count END) AS BIGINT) AS total_rows FROM files""",
+        f"""SELECT CAST(count(*) FILTER (WHERE {_DAY_OF_FILE} >= 10) AS BIGINT) AS loaded,
+          CAST(count(*) FILTER (WHERE {_DAY_OF_FILE} < 10) AS BIGINT) AS skipped,
+          CAST(sum(CASE WHEN {_DAY_OF_FILE} < 10 THEN 0 ELSE row_count END) AS BIGINT) AS total_rows FROM files""",
         o.RAW_READINGS, _FILES,
     ),
 )
@@ -755,6 +778,34 @@ def load_summary_query(spark, sf):
     return load_summary(load_metrics(spark, sf))
 
 
+@register(
+    "refused_at_write",
+    o.sql(
+        """SELECT _raw_id, CASE WHEN copies > 1 THEN 'repeated_key' ELSE 'null_meter_id' END AS refusal, 0 AS published
+        FROM (SELECT id AS _raw_id, meter_id, count(*) OVER (PARTITION BY meter_id, moment) AS copies
+          FROM (SELECT id, nullif(meter_id, '') AS meter_id, TRY_CAST(reading_timestamp AS TIMESTAMP) AS moment
+            FROM raw_readings WHERE reason IS NULL))
+        WHERE copies > 1 OR meter_id IS NULL""".replace("FROM raw_readings WHERE reason IS NULL", f"""FROM (SELECT *,
+              {o.READING_REASON_DEFAULT} AS reason FROM raw_readings) WHERE reason IS NULL"""),
+        o.RAW_READINGS,
+    ).replace("CASE WHEN copies > 1 THEN 'repeated_key' ELSE 'null_meter_id' END", "CASE WHEN meter_id IS NULL THEN 'null_meter_id' ELSE 'repeated_key' END"),
+)
+def refused_at_write(spark, sf):
+    """Typed readings that nobody has reduced to one a key, some without a meter: the write is refused as a
+    whole, nothing is published, and these rows are why."""
+    valid, _ = READINGS.split(fx.raw_readings(spark, sf))
+    rows = READINGS.typed_rows(valid).withColumn("meter_id", blank_to_null(F.col("meter_id")))
+    wh = _new_warehouse(spark)
+    updates = rows.withColumns({"meter_reading_id": F.col("_raw_id"), "_loaded_at": F.lit(None).cast("timestamp_ntz")})
+    days = [r.reading_date for r in rows.select("reading_date").distinct().collect()]
+    try:
+        wh.upsert(STG_READINGS, updates, days, METER_FEED.update_cols)
+    except ConstraintError:
+        pass
+    published = wh.read(STG_READINGS).count()
+    return refused_rows(rows, STG_READINGS.keys).select("_raw_id", "refusal", F.lit(published).cast("int").alias("published"))
+
+
 # --- data quality ---------------------------------------------------------
 
 _RUN_DAY = date(2024, 2, 1)
@@ -814,38 +865,6 @@ def constraint_duplicates(spark, sf):
     return duplicate_keys(fx.raw_readings(spark, sf), ["meter_id", "reading_timestamp"])
 
 
-_CHECKS_SQL = """SELECT '{name}' AS check_name, 'staging.stg_meter_readings' AS table_name,
-  DATE '2024-02-01' AS execution_date, count(*) FILTER (WHERE {bad}) <= {allowed} AS passed,
-  count(*) FILTER (WHERE {bad}) AS failed_count, count(*) AS total_count, '{severity}' AS severity,
-  '{details}' AS details FROM staged"""
-
-
-def _reading_checks() -> list[quality.Check]:
-    return [
-        quality.not_blank("meter_id"),
-        quality.in_range("consumption_kwh", Decimal("0"), Decimal("400")),
-        quality.max_length("meter_id", 50),
-        quality.Check("on_grid", F.minute("reading_timestamp") % 15 != 0, "info", 1000000000, "off the 15-minute grid"),
-    ]
-
-
-_CHECK_ROWS = " UNION ALL ".join(
-    _CHECKS_SQL.format(name=n, bad=b, allowed=a, severity=s, details=d)
-    for n, b, a, s, d in (
-        ("not_blank_meter_id", "meter_id IS NULL OR trim(meter_id) = ''", 0, "error", "meter_id is NULL or blank"),
-        ("range_consumption_kwh", "consumption_kwh NOT BETWEEN 0 AND 400", 0, "warning",
-         "consumption_kwh outside [0, 400]"),
-        ("length_meter_id", "length(meter_id) > 50", 0, "error", "meter_id longer than 50"),
-        ("on_grid", "extract('minute' FROM reading_timestamp) % 15 <> 0", 1000000000, "info",
-         "off the 15-minute grid"),
-    )
-)
-_UNIQUE_ROW = """SELECT 'unique_meter_id_reading_timestamp' AS check_name, 'raw.raw_meter_readings' AS table_name,
-  DATE '2024-02-01' AS execution_date, sum(n - 1) = 0 AS passed, CAST(sum(n - 1) AS BIGINT) AS failed_count,
-  CAST(sum(n) AS BIGINT) AS total_count, 'error' AS severity, 'key meter_id, reading_timestamp' AS details
-  FROM (SELECT count(*) AS n FROM raw_readings GROUP BY meter_id, reading_timestamp)"""
-
-
 @register(
     "dq_range",
     o.sql(
@@ -861,13 +880,80 @@ def dq_range(spark, sf):
     )
 
 
-@register("dq_results", o.sql(f"{_CHECK_ROWS} UNION ALL {_UNIQUE_ROW}", o.RAW_READINGS, o.STAGED))
-def dq_results(spark, sf):
-    columns = quality.run_checks(staged(spark, sf), _reading_checks(), "staging.stg_meter_readings", _RUN_DAY)
-    unique = quality.duplicate_check(
-        fx.raw_readings(spark, sf), ["meter_id", "reading_timestamp"], "raw.raw_meter_readings", _RUN_DAY
+# What log_checks asks of each table: (check, failing rows, severity, rows that may fail, details).
+_NO_LIMIT = 1 << 62
+
+
+def _not_null(columns: str) -> list[tuple]:
+    return [(f"not_null_{c}", f"{c} IS NULL", "error", 0, f"{c} is NULL") for c in columns.split()]
+
+
+def _not_blank(column: str) -> tuple:
+    return (f"not_blank_{column}", f"{column} IS NULL OR trim({column}) = ''", "error", 0, f"{column} is NULL or blank")
+
+
+def _range(column: str, low: int, high: int) -> tuple:
+    return (f"range_{column}", f"{column} NOT BETWEEN {low} AND {high}", "warning", 0, f"{column} outside [{low}, {high}]")
+
+
+def _length(column: str) -> tuple:
+    return (f"length_{column}", f"length({column}) > 50", "error", 0, f"{column} longer than 50")
+
+
+_LOGGED = (
+    ("staging.stg_meter_readings", "staged", "meter_id, reading_timestamp",
+     [*_not_null("meter_id reading_timestamp consumption_kwh reading_date reading_hour"), _not_blank("meter_id"),
+      _length("meter_id"), _range("consumption_kwh", 0, 10000)]),
+    ("staging.stg_weather_data", "staged_weather", "location_id, observation_time",
+     [*_not_null("location_id observation_time observation_date observation_hour"), _not_blank("location_id"),
+      _range("temperature_c", -60, 60), _range("humidity_pct", 0, 100)]),
+    ("analytics.fact_consumption", "fact", "meter_id, date_key, time_key",
+     [*((f"not_null_{c}", "FALSE", "error", 0, f"{c} is NULL") for c in
+        ("meter_key", "customer_key", "location_key", "date_key", "time_key", "consumption_kwh")),
+      _range("cost_usd", 0, 10000),
+      ("has_temperature", "temperature_c IS NULL", "info", _NO_LIMIT, None)]),
+)
+
+
+def _logged_sql(table: str, source: str, keys: str, checks: list[tuple]) -> str:
+    shown = keys.replace("meter_id, date_key", "meter_key, date_key")
+    rows = [
+        f"""SELECT '{name}' AS check_name, '{table}' AS table_name, count(*) FILTER (WHERE {bad}) <= {allowed} AS passed,
+          count(*) FILTER (WHERE {bad}) AS failed_count, count(*) AS total_count, '{severity}' AS severity,
+          {'CAST(NULL AS VARCHAR)' if details is None else f"'{details}'"} AS details FROM {source}"""
+        for name, bad, severity, allowed, details in checks
+    ]
+    rows.append(
+        f"""SELECT 'unique_{shown.replace(", ", "_")}', '{table}', coalesce(sum(n - 1), 0) = 0, CAST(coalesce(sum(n - 1), 0) AS BIGINT),
+          CAST(coalesce(sum(n), 0) AS BIGINT), 'error', 'key {shown}' FROM (SELECT count(*) AS n FROM {source} GROUP BY {keys})"""
     )
-    return columns.unionByName(unique)
+    return " UNION ALL ".join(rows)
+
+
+def _stored(spark, sf) -> Warehouse:
+    """A warehouse as a finished load leaves it: staged readings and weather, and the fact."""
+    wh = _new_warehouse(spark)
+    loaded = {"_loaded_at": F.lit(None).cast("timestamp_ntz")}
+    for feed, rows in ((METER_FEED, staged(spark, sf)), (WEATHER_FEED, staged_weather(spark, sf))):
+        wh.overwrite_partitions(feed.target, rows.withColumns({feed.surrogate: F.col("_raw_id"), **loaded}))
+    wh.overwrite_partitions(FACT_CONSUMPTION, fact(spark, sf).withColumns({"consumption_id": F.col("_stg_id"), **loaded}))
+    return wh
+
+
+@register(
+    "dq_results",
+    o.sql(
+        f"""SELECT *, DATE '2024-02-01' AS execution_date FROM ({" UNION ALL ".join(_logged_sql(*t) for t in _LOGGED)})
+        ORDER BY ALL""",
+        *o.FACT_CHAIN,
+    ),
+)
+def dq_results(spark, sf):
+    """The log of a run's checks, written twice: the repetition replaces it. Telemetry has no rows."""
+    wh = _stored(spark, sf)
+    for _ in range(2):
+        log = log_checks(wh, _RUN_DAY, fx.SECOND_RUN)
+    return log.filter("table_name <> 'staging.stg_equipment_telemetry'").drop("execution_time_ms", "created_at")
 
 
 _BOUNDS = """bounds AS (SELECT meter_id, q1, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high,
@@ -908,24 +994,57 @@ def dq_outliers(spark, sf):
     return quality.flag_outliers(rows, ["meter_id"], "consumption_kwh")
 
 
+_PERIOD = (date(2024, 1, 6), date(2024, 1, 25))
+
+
+@register(
+    "dq_period_bounds",
+    o.sql(
+        """SELECT meter_id, n, q1, q3, round(low, 6) AS low, round(high, 6) AS high, round(mean, 6) AS mean,
+          round(deviation, 6) AS deviation
+        FROM (SELECT meter_id, n, q1, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high, mean, deviation
+          FROM (SELECT meter_id, count(*) AS n, quantile_disc(CAST(consumption_kwh AS DOUBLE), 0.25) AS q1,
+              quantile_disc(CAST(consumption_kwh AS DOUBLE), 0.75) AS q3, avg(CAST(consumption_kwh AS DOUBLE)) AS mean,
+              stddev_samp(CAST(consumption_kwh AS DOUBLE)) AS deviation
+            FROM staged WHERE reading_date BETWEEN DATE '2024-01-06' AND DATE '2024-01-25' AND meter_id <> '' GROUP BY meter_id))""",
+        o.RAW_READINGS, o.STAGED,
+    ),
+)
+def dq_period_bounds(spark, sf):
+    """States of each meter and day are kept, those of some days twice; the period's bounds need no reading.
+
+    Rows without a meter stand in no period: their group outgrows what a sketch holds exactly.
+    """
+    wh = _new_warehouse(spark)
+    rows = staged(spark, sf).filter("meter_id <> ''").withColumns(
+        {"meter_reading_id": F.col("_raw_id"), "_loaded_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    wh.overwrite_partitions(STG_READINGS, rows)
+    days = [r.reading_date for r in wh.read(STG_READINGS).select("reading_date").distinct().collect()]
+    refresh_states(wh, days)
+    refresh_states(wh, [d for d in days if d.day > 20])
+    bounds = quality.period_bounds(period_states(wh, *_PERIOD), ["meter_id"])
+    return bounds.select(
+        "meter_id", "n", "q1", "q3", *[F.round(c, 6).alias(c) for c in ("low", "high", "mean", "deviation")]
+    )
+
+
 @register(
     "dq_pipeline_metrics",
     o.sql(
-        """SELECT 'transform' AS pipeline_name, DATE '2024-02-01' AS execution_date, metric_name,
+        """SELECT 'fact_consumption' AS pipeline_name, DATE '2024-01-15' AS execution_date, metric_name,
           CAST(metric_value AS DECIMAL(15,4)) AS metric_value FROM (
-          SELECT 'rows_staged' AS metric_name, CAST(count(*) AS DECIMAL(15,4)) AS metric_value FROM staged
-          UNION ALL SELECT 'meters', CAST(count(DISTINCT meter_id) AS DECIMAL(15,4)) FROM staged
-          UNION ALL SELECT 'max_kwh', CAST(max(consumption_kwh) AS DECIMAL(15,4)) FROM staged)""",
-        o.RAW_READINGS, o.STAGED,
+          SELECT 'fact_rows' AS metric_name, CAST(count(*) AS DECIMAL(15,4)) AS metric_value FROM fact WHERE date_key = 20240115
+          UNION ALL SELECT 'total_kwh', CAST(coalesce(sum(consumption_kwh), 0) AS DECIMAL(15,4)) FROM fact WHERE date_key = 20240115
+          UNION ALL SELECT 'total_cost_usd', CAST(coalesce(sum(cost_usd), 0) AS DECIMAL(15,4)) FROM fact WHERE date_key = 20240115)""",
+        *o.FACT_CHAIN,
     ),
 )
 def dq_pipeline_metrics(spark, sf):
-    metrics = {
-        "rows_staged": F.count(F.lit(1)),
-        "meters": F.countDistinct("meter_id"),
-        "max_kwh": F.max("consumption_kwh"),
-    }
-    return quality.metric_rows(staged(spark, sf), metrics, "transform", _RUN_DAY)
+    wh = _stored(spark, sf)
+    for _ in range(2):
+        log = log_metrics(wh, date(2024, 1, 15), fx.SECOND_RUN)
+    return log.drop("details", "created_at")
 
 
 @register(
@@ -999,6 +1118,18 @@ def loaded_on_day(spark, sf):
     return quality.loaded_on(fx.raw_readings(spark, sf), date(2024, 1, 10)).select("id", "meter_id", "_source_file")
 
 
+@register(
+    "loaded_between",
+    o.sql("SELECT meter_id, _source_file FROM raw_readings WHERE " + _DAY_OF_FILE + " >= 10", o.RAW_READINGS),
+)
+def loaded_between_query(spark, sf):
+    """Two loads on two days; the rows of the second are found through the ledger."""
+    wh, folder = _half_loaded(spark, sf)
+    ingest_files(wh, METER_FILES, folder, fx.SECOND_RUN)
+    rows = loaded_between(wh.read(RAW_READINGS), wh.read(LOAD_LEDGER), METER_FILES.source_table, fx.SECOND_RUN, datetime(2024, 2, 2))
+    return rows.select("meter_id", _base_name())
+
+
 # --- marts ----------------------------------------------------------------
 
 _SUMS = "CAST(sum(consumption_kwh) AS DECIMAL(24,4)) AS total_kwh, CAST(sum(cost_usd) AS DECIMAL(24,2)) AS total_cost"
@@ -1054,6 +1185,35 @@ def regional_rollup(spark, sf):
     return marts.regional_rollup(fact(spark, sf), fx.dim_location(spark, sf))
 
 
+def _loaded_in_pieces(spark, sf) -> Warehouse:
+    """Three overlapping loads of the fact; the first holds half of the rows, at stale prices."""
+    wh = _new_warehouse(spark)
+    every = fact(spark, sf).withColumns(
+        {"consumption_id": F.col("_stg_id").cast("bigint"), "_loaded_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    stale = every.filter(F.col("_stg_id") % 2 == 0).withColumn("cost_usd", F.lit(1).cast("decimal(10,2)"))
+    days = sorted(r[0] for r in every.select("date_key").distinct().collect())
+    for rows, some in ((stale, days[:20]), (every, days[10:]), (every, days[:12])):
+        wh.overwrite_partitions(FACT_CONSUMPTION, rows.filter(F.col("date_key").isin(some)))
+        standing.refresh_totals(wh, [datetime.strptime(str(d), "%Y%m%d").date() for d in some])
+    return wh
+
+
+@register("standing_daily_summary", ORACLES["daily_customer_summary"])
+def standing_daily_summary(spark, sf):
+    return with_ids(standing.standing_daily_summary(_loaded_in_pieces(spark, sf)), *star(spark, sf))
+
+
+@register("standing_customer_analysis", ORACLES["customer_analysis"])
+def standing_customer_analysis(spark, sf):
+    return standing.standing_customer_analysis(_loaded_in_pieces(spark, sf), fx.dim_customer(spark, sf))
+
+
+@register("standing_regional_rollup", ORACLES["regional_rollup"])
+def standing_regional_rollup(spark, sf):
+    return standing.standing_regional_rollup(_loaded_in_pieces(spark, sf), fx.dim_location(spark, sf))
+
+
 @register(
     "meter_series",
     o.sql(
@@ -1081,6 +1241,24 @@ def readings_range(spark, sf):
     return marts.readings_range(staged(spark, sf), date(2024, 1, 10), date(2024, 1, 12))
 
 
+@register(
+    "meter_range",
+    o.sql(
+        """SELECT meter_id, reading_timestamp, consumption_kwh FROM staged
+        WHERE meter_id IN ('MTR-00001', 'MTR-00042') AND reading_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
+        o.RAW_READINGS, o.STAGED,
+    ),
+)
+def meter_range(spark, sf):
+    """Two meters of some days from the warehouse, where rows lie by meter and time inside a day."""
+    wh = _new_warehouse(spark)
+    rows = staged(spark, sf).withColumns({"meter_reading_id": F.col("_raw_id"), "_loaded_at": F.lit(None).cast("timestamp_ntz")})
+    days = [r.reading_date for r in rows.select("reading_date").distinct().collect()]
+    wh.upsert(STG_READINGS, rows, days, METER_FEED.update_cols)
+    stored = marts.readings_range(wh.read(STG_READINGS), date(2024, 1, 10), date(2024, 1, 20), ["MTR-00001", "MTR-00042"])
+    return stored.select("meter_id", "reading_timestamp", "consumption_kwh")
+
+
 @register(
     "weather_bands",
     o.sql(
@@ -1268,6 +1446,34 @@ def run_day_query(spark, sf):
     return _warehouse_fact(wh)
 
 
+@register("run_day_shared_weather", o.sql(f"{_NATURAL_FACT} WHERE date_key = 20240115", *_LANDED_FACT))
+def run_day_shared_weather(spark, sf):
+    """A day without a weather file of its own takes the shared one."""
+    wh, landing = _new_warehouse(spark), _landing(spark, sf, "reference", "readings")
+    fx.write_landed(fx.raw_weather(spark, sf).withColumn("_source_file", F.lit("weather.csv")), landing)
+    run_day(wh, landing, date(2024, 1, 15), datetime(2024, 1, 16))
+    return _warehouse_fact(wh)
+
+
+@register(
+    "quarantined_once",
+    o.sql(
+        f"""SELECT 'raw.raw_meter_readings' AS source_table, split_part(reason, ':', 1) AS reason_code, count(*) AS open_rows
+        FROM (SELECT {o.READING_REASON_DEFAULT} AS reason FROM raw_readings WHERE _source_file LIKE 'readings_2024-01-1%')
+        WHERE reason IS NOT NULL GROUP BY 2""",
+        _CSV_READINGS,
+    ),
+)
+def quarantined_once(spark, sf):
+    """Rejected rows of ten days' files, staged twice, stand in the quarantine once."""
+    wh, folder = _new_warehouse(spark), f"{_landing(spark, sf, 'readings')}/meter_readings"
+    ingest_files(wh, METER_FILES, folder, fx.FIRST_RUN, "readings_2024-01-1*.csv")
+    batches = [r.batch_id for r in wh.read(LOAD_LEDGER).collect()]
+    for run_ts in (fx.FIRST_RUN, fx.SECOND_RUN):
+        stage_batches(wh, METER_FEED, batches, run_ts)
+    return quality.unresolved_quarantine(wh.read(DQ_QUARANTINE))
+
+
 @register("backfill", o.sql(_NATURAL_FACT, *_LANDED_FACT))
 def backfill_query(spark, sf):
     wh, landing = _new_warehouse(spark), _landing(spark, sf, "reference", "readings", "weather")
@@ -1290,3 +1496,38 @@ def stream_ingest(spark, sf):
     for _ in range(2):
         incremental_ingest(wh, METER_FEED, f"{landing}/meter_readings", checkpoint, lambda: fx.SECOND_RUN)
     return wh.read(STG_READINGS).select(*READINGS.columns)
+
+
+# Corrections delivered later, in files of their own: every third reading again, one kWh higher.
+_LATE_READINGS = _CSV_READINGS.replace("raw_readings AS (", "first_readings AS (") + """,
+raw_readings AS (SELECT * FROM first_readings UNION ALL
+  SELECT id + 1000000000 AS id, meter_id, reading_timestamp,
+    CAST(CAST(consumption_kwh AS DECIMAL(12,4)) + 1 AS VARCHAR) AS consumption_kwh, unit,
+    replace(_source_file, '.csv', '_late.csv') AS _source_file, _loaded_at + INTERVAL 100 DAY AS _loaded_at, _batch_id
+  FROM first_readings WHERE id % 3 = 0 AND TRY_CAST(consumption_kwh AS DECIMAL(12,4)) >= 0)"""
+
+
+@register(
+    "stream_corrections",
+    o.sql(
+        "SELECT meter_id, reading_timestamp, consumption_kwh, reading_date, reading_hour FROM staged",
+        _LATE_READINGS, o.STAGED,
+    ),
+)
+def stream_corrections_query(spark, sf):
+    """Readings, then late corrections of a third of them, then those again under other names; each
+    call starts the stream anew."""
+    wh, checkpoint = _new_warehouse(spark), scratch_dir(spark, "stream")
+    first = fx.raw_readings(spark, sf)
+    number = F.col("consumption_kwh").try_cast("decimal(12,4)")
+    late = first.filter((F.col("id") % 3 == 0) & (number >= 0)).withColumn(
+        "consumption_kwh", (number + 1).cast("decimal(12,4)").cast("string")
+    )
+    for rows, suffix, run_ts in (
+        (first, ".csv", fx.FIRST_RUN), (late, "_late.csv", fx.SECOND_RUN), (late, "_late_again.csv", datetime(2024, 3, 1))
+    ):
+        landing = scratch_dir(spark, "landing")
+        fx.write_landed(rows.withColumn("_source_file", F.replace("_source_file", F.lit(".csv"), F.lit(suffix))), landing)
+        ingest_files(wh, METER_FILES, landing, run_ts)
+        stream_corrections(wh, METER_FEED, checkpoint, lambda at=run_ts: at)
+    return wh.read(STG_READINGS).select(*READINGS.columns)

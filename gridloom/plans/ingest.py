@@ -7,7 +7,7 @@ import time
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloom.functions.keys import batch_id, instant
@@ -22,6 +22,7 @@ from gridloom.sources.landing import (
     LOCATION_FILE,
     METER_FILE,
     Landing,
+    group_by_header,
     list_files,
     missing_columns,
     read_landed,
@@ -68,7 +69,9 @@ def ingest_files(
         for r in listed
         if r.existing_rows is not None
     ]
-    broken = missing_columns(spark, [r.path for r in pending], landing)
+    headers = group_by_header(spark, [r.path for r in pending]) if landing.file_format == "csv" else {}
+    broken = missing_columns(headers, landing)
+    headers = {h: group for h, group in headers.items() if not missing_columns({h: group}, landing)}
     metrics += [
         ("failed", f"columns {broken[r.path]} missing from the header", r.source_file, None, 0, 0, None, None)
         for r in pending
@@ -78,26 +81,25 @@ def ingest_files(
     if pending:
         known = ledger.filter(F.col("source_table") == source)
         first_id = (known.agg(F.max("max_id")).first()[0] or 0) + 1
-        rows = read_landed(spark, [r.path for r in pending], landing, multi_line).withColumns(
+        seen = Observation()
+        rows = read_landed(spark, [r.path for r in pending], landing, multi_line, headers or None).withColumns(
             {
                 "id": F.monotonically_increasing_id() + first_id,
                 "_loaded_at": instant(run_ts),
                 "_batch_id": batch_id(source, F.col("_source_file")),
             }
         )
-        wh.overwrite_partitions(table, rows)
+        wh.overwrite_partitions(table, rows.observe(seen, F.max("id").alias("max_id")))
         batches = [r.batch_id for r in pending]
-        written = (
-            wh.read(table)
-            .filter(F.col("_batch_id").isin(batches))
-            .groupBy("_batch_id")
-            .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id"))
-        )
-        counts = {r._batch_id: (r.n, r.max_id) for r in written.collect()}  # one row per file
+        # Counted by the files' footers: no column is read.
+        written = wh.read(table).filter(F.col("_batch_id").isin(batches)).groupBy("_batch_id").count()
+        counts = dict(written.collect())  # one row per file
+        highest = seen.get["max_id"]
         seconds = round(time.monotonic() - started, 2)
         entries = []
         for r in pending:
-            n, max_id = counts.get(r.batch_id, (0, None))
+            n = counts.get(r.batch_id, 0)
+            max_id = highest if n else None
             metrics.append(("success", None, r.source_file, r.batch_id, n, n, None, seconds))
             entries.append((source, r.source_file, r.batch_id, "success", n, n, max_id, seconds, run_ts))
         wh.append(LOAD_LEDGER, _rows(wh, entries, LOAD_LEDGER.ddl))

@@ -18,13 +18,14 @@ from gridloom.operators.calendar import build_dim_date, build_dim_time
 from gridloom.operators.dims import build_dim_meter, customer_changes, upsert_dim_location
 from gridloom.operators.fact import FACT_UPDATE_COLS, build_fact_consumption, meter_profile
 from gridloom.operators.merge import insert_if_absent
+from gridloom.operators.quantiles import value_states
 from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER, Stage
 from gridloom.plans.ingest import ingest_files, ingest_reference
 from gridloom.plans.ledger import batches_of, load_summary
 from gridloom.schemas import (
     DIM_CUSTOMER, DIM_DATE, DIM_LOCATION, DIM_METER, DIM_TIME, DQ_CHECK_RESULTS, DQ_PIPELINE_METRICS,
-    DQ_QUARANTINE, FACT_CONSUMPTION, LOAD_LEDGER, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS, STG_READINGS,
-    STG_TELEMETRY, STG_WEATHER, Table,
+    DQ_QUARANTINE, FACT_CONSUMPTION, LOAD_LEDGER, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_METERS,
+    READING_STATES, STG_READINGS, STG_TELEMETRY, STG_WEATHER, Table,
 )
 from gridloom.sources.landing import METER_FILES, TELEMETRY_FILES, WEATHER_FILES, Landing, list_files
 from gridloom.sources.warehouse import Warehouse
@@ -266,6 +267,22 @@ def log_checks(
     return wh.read(DQ_CHECK_RESULTS).filter(F.col("execution_date") == F.lit(execution_date))
 
 
+def refresh_states(wh: Warehouse, days: Sequence[date]) -> None:
+    """Rebuild the mergeable states of consumption for the days whose staging has changed.
+
+    Bounds of any period then come from :func:`period_states`, without its readings.
+    """
+    if not days:
+        return
+    stg = wh.read(STG_READINGS).filter(F.col("reading_date").isin(list(days)))
+    states = value_states(stg, ["reading_date", "meter_id"], "consumption_kwh")
+    wh.overwrite_partitions(READING_STATES, states)
+
+
+def period_states(wh: Warehouse, start: date, end: date) -> DataFrame:
+    return wh.read(READING_STATES).filter(F.col("reading_date").between(F.lit(start), F.lit(end)))
+
+
 def log_metrics(wh: Warehouse, execution_date: date, run_ts: datetime) -> DataFrame:
     """Row counts of the run's day; a repeated run replaces the day's rows."""
     fact = wh.read(FACT_CONSUMPTION).filter(F.col("date_key") == date_key(F.lit(execution_date).cast("date")))

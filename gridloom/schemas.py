@@ -13,6 +13,7 @@ class Table:
     partition_by: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     versioned: bool = False  # rewritten whole into a new folder, see sources.warehouse
+    cluster: tuple[str, str] | None = None  # (id, moment) by which rows lie inside a partition
     open_flag: str | None = None  # of a versioned history: only rows with this flag are rewritten
 
     @property
@@ -87,6 +88,7 @@ STG_READINGS = Table(
     keys=("meter_id", "reading_timestamp"),
     partition_by=("reading_date",),
     required=("meter_id", "reading_timestamp", "consumption_kwh", "reading_date", "reading_hour"),
+    cluster=("meter_id", "reading_timestamp"),
 )
 STG_WEATHER = Table(
     "staging/stg_weather_data",
@@ -108,6 +110,14 @@ STG_TELEMETRY = Table(
     required=("equipment_id", "sensor_type", "reading_timestamp", "sensor_value", "unit"),
 )
 
+READING_STATES = Table(
+    "dq/reading_states",
+    "meter_id string, sketch binary, n bigint, total double, squares double, least double, greatest double, "
+    "reading_date date",
+    keys=("meter_id", "reading_date"),
+    partition_by=("reading_date",),
+)
+
 DIM_DATE = Table(
     "analytics/dim_date",
     "date_key int, full_date date, year smallint, quarter smallint, month smallint, month_name string, "
@@ -156,6 +166,20 @@ FACT_CONSUMPTION = Table(
     required=("meter_key", "customer_key", "location_key", "date_key", "time_key", "consumption_kwh"),
 )
 
+MART_TOTALS = Table(
+    "analytics/mart_totals",
+    "customer_key int, location_key int, readings bigint, consumption_kwh decimal(38,4), cost_usd decimal(38,2)",
+    keys=("customer_key", "location_key"),
+    versioned=True,
+)
+MART_DAYS = Table(
+    "analytics/mart_days",
+    "date_key int, customer_key int, location_key int, readings bigint, consumption_kwh decimal(38,4), "
+    "cost_usd decimal(38,2), peak_kwh decimal(38,4)",
+    keys=("date_key", "customer_key", "location_key"),
+    partition_by=("date_key",),
+)
+
 DQ_CHECK_RESULTS = Table(
     "dq/dq_check_results",
     "check_name string, table_name string, passed boolean, failed_count bigint, total_count bigint, "

@@ -5,8 +5,8 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,38 +104,36 @@ def _base_name() -> Column:
     return F.when(shown.contains("%"), decoded).otherwise(shown).alias("_source_file")
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    jvm = spark._jvm
-    file = jvm.org.apache.hadoop.fs.Path(path)
-    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([line]), ())) if line else ()
-
-
 def group_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Files with the same header line, which Spark may read together.
 
     Spark matches the columns of later files by position, so files whose header
-    differs need a read of their own. Reads one line per file.
+    differs need a read of their own. The first lines are found by a scan of the files as text
+    on the executors; the driver gets each distinct header once, with the paths it must
+    hand to the reader.
     """
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda path: _header(spark, path), paths))
+    if not paths:
+        return {}
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    bare = lambda path: path.split(":", 1)[-1].lstrip("/")
+    given = {bare(path): path for path in paths}  # the metadata shows special characters encoded
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in zip(paths, headers):
-        if header:  # an empty file has no header and no rows
-            groups[header].append(path)
-    return dict(groups)
+    for row in found:  # an empty file has no line, and so no header and no rows
+        header = tuple(next(csv.reader([row.header.removeprefix("\ufeff")]), ()))
+        if header:
+            groups[header] += [given[bare(unquote(path))] for path in row.paths]
+    return {header: sorted(group) for header, group in groups.items()}
 
 
-def missing_columns(spark: SparkSession, paths: Sequence[str], landing: Landing) -> dict[str, list[str]]:
+def missing_columns(headers: Mapping[tuple[str, ...], Sequence[str]], landing: Landing) -> dict[str, list[str]]:
     """Needed columns that the headers lack, for the files that lack any."""
-    if landing.file_format != "csv" or not paths:
-        return {}
     found: dict[str, list[str]] = {}
-    for header, group in group_by_header(spark, paths).items():
+    for header, group in headers.items():
         lacking = [name for name in landing.needed if name not in header]
         if lacking:
             found |= dict.fromkeys(group, lacking)
@@ -180,11 +178,13 @@ def _read_csv_group(
 
 
 def read_landed(
-    spark: SparkSession, paths: Sequence[str], landing: Landing, multi_line: bool = False
+    spark: SparkSession, paths: Sequence[str], landing: Landing, multi_line: bool = False,
+    headers: Mapping[tuple[str, ...], Sequence[str]] | None = None,
 ) -> DataFrame:
     """String rows of the given files with ``_source_file`` and ``_file_pos``.
 
-    ``multi_line`` allows quoted line breaks, at the price of one task per file.
+    ``multi_line`` allows quoted line breaks, at the price of one task per file. ``headers`` are
+    those of :func:`group_by_header`, if they are known already.
     """
     paths = list(paths)
     columns = [*landing.fields, "_source_file", "_file_pos"]
@@ -198,8 +198,8 @@ def read_landed(
             )
         ] if paths else []
     else:
-        groups = group_by_header(spark, paths)
-        parts = [_read_csv_group(spark, h, group, landing, multi_line) for h, group in sorted(groups.items())]
+        groups = group_by_header(spark, paths) if headers is None else headers
+        parts = [_read_csv_group(spark, h, list(group), landing, multi_line) for h, group in sorted(groups.items())]
     if not parts:
         ddl = ", ".join(f"{c} string" for c in columns[:-1]) + ", _file_pos bigint"
         return spark.createDataFrame([], ddl)

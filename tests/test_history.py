@@ -5,15 +5,20 @@ from __future__ import annotations
 import random
 import re
 from datetime import datetime, timedelta
+from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import dims, scd2
+from gridloom.operators.merge import ConstraintError, merge_upsert, refused_rows, with_copies
 from gridloom.operators.surrogate import number_settled
+from gridloom.plans.ingest import ingest_files
 from gridloom.plans.pipeline import refresh_dimensions
-from gridloom.schemas import DIM_CUSTOMER, RAW_CUSTOMERS, RAW_LOCATIONS
+from gridloom.schemas import DIM_CUSTOMER, RAW_CUSTOMERS, RAW_LOCATIONS, RAW_READINGS, STG_READINGS
 from gridloom.sources import fixtures as fx
+from gridloom.sources.landing import METER_FILES, group_by_header
 from gridloom.sources.warehouse import Warehouse
 from tests.conftest import rows
 
@@ -197,3 +202,54 @@ def test_one_key_with_all_versions_and_events(spark):
     wrong = met.filter("key <> CAST((event * 7 % 6000000) div 60 AS INT)")
     row = met.agg(F.count(F.lit(1)).alias("n")).first()
     assert row.n == 1_000_000 and wrong.isEmpty()
+
+
+# --- checks on the write, headers ----------------------------------------------------
+
+
+def reading(spark, *made):
+    return spark.createDataFrame(
+        [(k, meter, START + timedelta(hours=hour), Decimal(k), hour, k, None, "b", START.date()) for k, meter, hour in made], STG_READINGS.ddl)
+
+
+def test_repeated_and_null_keys_are_refused_at_the_write(spark, wh):
+    update = ("consumption_kwh", "_raw_id", "_batch_id")
+    wh.upsert(STG_READINGS, reading(spark, (1, "a", 1), (2, "b", 1)), [START.date()], update)
+    before = rows(wh.read(STG_READINGS))
+    for bad, said in (([(3, "a", 1), (4, "a", 1), (5, "c", 1)], "'repeated': 2"), ([(3, None, 1), (4, "c", 1)], "'null_meter_id': 1")):
+        with pytest.raises(ConstraintError, match=said):
+            wh.upsert(STG_READINGS, reading(spark, *bad), [START.date()], update)
+        assert rows(wh.read(STG_READINGS)) == before
+    wh.upsert(STG_READINGS, reading(spark, (3, "a", 1), (4, "c", 1)), [START.date()], update)
+    assert rows(wh.read(STG_READINGS), "meter_id", "_raw_id") == [("a", 3), ("b", 2), ("c", 4)]
+    refused = refused_rows(reading(spark, (3, "a", 1), (4, "a", 1), (5, None, 1), (6, "d", 1)), STG_READINGS.keys)
+    assert rows(refused, "_raw_id", "refusal") == [(3, "repeated_key"), (4, "repeated_key"), (5, "null_meter_id")]
+
+
+def test_an_older_row_does_not_replace_a_newer_one(spark, wh):
+    update = ("consumption_kwh", "_raw_id")
+    wh.upsert(STG_READINGS, reading(spark, (7, "a", 1)), [START.date()], update, newer="_raw_id")
+    wh.upsert(STG_READINGS, reading(spark, (5, "a", 1), (6, "b", 1)), [START.date()], update, newer="_raw_id")
+    assert rows(wh.read(STG_READINGS), "meter_id", "_raw_id") == [("a", 7), ("b", 6)]
+
+
+def test_the_check_adds_no_shuffle(spark, no_broadcast):
+    updates = spark.range(10).selectExpr("concat('m', id) AS k", "id AS v")
+    plain = merge_upsert(updates, updates, ["k"], ["v"])
+    counted = merge_upsert(updates, with_copies(updates, ["k"]).observe("seen", F.count_if(F.col("_copies") > 1).alias("n")), ["k"], ["v"])
+    assert planned(counted, "Exchange hashpartitioning") == planned(plain, "Exchange hashpartitioning") == 2
+
+
+def test_many_files_and_headers(spark, wh, landing):
+    folder = Path(landing.readings)
+    for k in range(2000):
+        names = ["meter_id", "reading_timestamp", "consumption_kwh", f"extra{k % 3}"]
+        line = [f"M{k}", "2024-01-15 08:00:00", str(k), "x"]
+        turn = k % 4
+        (folder / f"readings_{k:05d}.csv").write_text(",".join(names[turn:] + names[:turn]) + "\n" + ",".join(line[turn:] + line[:turn]) + "\n")
+    (folder / "readings_empty.csv").write_text("")
+    (folder / "readings_mark.csv").write_text("﻿meter_id,reading_timestamp,consumption_kwh\nMARK,2024-01-15 08:00:00,1\n", encoding="utf-8")
+    assert len(group_by_header(spark, [str(p) for p in folder.glob("*.csv")])) == 13
+    ingest_files(wh, METER_FILES, landing.readings, START)
+    read = wh.read(RAW_READINGS)
+    assert read.count() == 2001 and read.filter("meter_id <> concat('M', consumption_kwh) AND meter_id <> 'MARK'").isEmpty()
