@@ -92,6 +92,8 @@ class Stage:
         return latest.select(*self.columns, "_raw_id", "_batch_id")
 
 
+# Table names, columns, types and reason codes below are fixed values.
+
 # --- meter readings -------------------------------------------------------
 
 

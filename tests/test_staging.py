@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.text import is_negative_number, looks_like_date, looks_like_number, strip
 from gridloom.functions.keys import batch_id, date_key, time_key
 from gridloom.operators.quality import row_conservation
-from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER, stage_meter_readings
+from gridloom.operators.staging import READINGS, TELEMETRY, WEATHER, reading_rules, stage_meter_readings
 from tests.conftest import rows
 
 T = datetime(2024, 1, 16)
@@ -59,25 +59,33 @@ def test_batch_id_depends_on_table_and_file(spark):
     assert df.select(batch_id("u", F.col("f"))).first()[0] != ids[0]
 
 
-def test_bad_data_fixture(spark):
-    """Five rows, three defects: two are quarantined, the blank meter is staged."""
-    data = raw(
-        spark,
-        ("M1", "2024-01-15 08:00:00", "1.2345"),
-        ("M2", "2024-01-15 08:00:00", "2.0000"),
-        ("", "2024-01-15 08:15:00", "1.1000"),
-        ("M3", "2024-01-15 08:15:00", "-5.0000"),
-        ("M4", "2024-01-15 08:15:00", "N/A"),
-    )
+#: For each rule of the readings, in order: what a sound row must become to break it, and no earlier rule.
+BREAKS = {
+    "null_meter_id": {0: None},
+    "invalid_timestamp": {1: "morning"},
+    "null_consumption": {2: None},
+    "invalid_consumption_format": {2: "7,5"},
+    "negative_consumption": {2: "-0.25"},
+    "uncastable_reading_timestamp": {1: "2024-02-30 10:00"},
+    "uncastable_consumption_kwh": {2: "987654321012"},
+    "demand_out_of_range": {2: "26000000"},
+}
+
+
+def test_each_rule_rejects_its_own_row(spark):
+    assert [r.code for r in reading_rules()] == list(BREAKS)
+    sound = ["G7", "2024-02-20 10:45", "0.5"]
+    broken = [[changes.get(k, v) for k, v in enumerate(sound)] for changes in BREAKS.values()]
+    data = raw(spark, sound, *broken)
     _, rejected = READINGS.split(data, "b", T)
-    assert rows(rejected, "source_id", "reason", "quarantined_at", "resolved") == [
-        (4, "negative_consumption: -5.0000", T, False),
-        (5, "invalid_consumption_format: N/A", T, False),
+    want = [
+        (n, f"{code}: {'null' if (shown := next(iter(changes.values()))) is None else shown}", T, False)
+        for n, (code, changes) in enumerate(BREAKS.items(), 2)
     ]
-    staged = stage_meter_readings(data, "b")
-    assert staged.count() == 3 and staged.filter("meter_id = ''").count() == 1
-    first = staged.filter("meter_id = 'M1'").first()
-    assert (first.consumption_kwh, first.reading_date, first.reading_hour) == (Decimal("1.2345"), date(2024, 1, 15), 8)
+    assert rows(rejected, "source_id", "reason", "quarantined_at", "resolved") == sorted(want)
+    staged = stage_meter_readings(data, "b").collect()
+    assert [(r.meter_id, r.consumption_kwh, r.reading_date, r.reading_hour) for r in staged] == [
+        ("G7", Decimal("0.5"), date(2024, 2, 20), 10)]
 
 
 def test_default_mode_quarantines_what_reference_mode_loses(spark):
