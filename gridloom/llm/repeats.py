@@ -21,13 +21,12 @@ as soon as the next one is written.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import apart, staged, unstage
+from gridloom.llm.common import apart, release, staged, unstage
 
 RUN, GRAM, WINDOW = 28, 13, 16
 BLANKS = " \n\t"
@@ -44,15 +43,20 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _lines(text_col: str) -> Column:
-    """The lines with their ends. Marks and a plain split take a tenth of a pattern's time; a
-    text that holds the mark itself goes the long way."""
-    text = marked = F.coalesce(F.col(text_col), F.lit(""))
+def _n_lines(text: Column) -> Column:
+    """The lines of a text, each with its end: no two ends share a character, so the ends are counted by
+    the bytes that go without them, and what follows the last one is a line too."""
+
+    def ends(of: list[str]) -> Column:
+        counts = [(F.octet_length(text) - F.octet_length(F.replace(text, F.lit(e), F.lit("")))) / len(e.encode()) for e in of]
+        return sum(counts[1:], counts[0]).cast("int")
+
+    ascii_ends, others = ([e for e in LINE_ENDS if e.isascii() == kind] for kind in (True, False))
+    closed = F.lit(False)
     for end in LINE_ENDS:
-        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
-    pattern = "|".join(f"(?<={re.escape(end)})" for end in LINE_ENDS)
-    lines = F.when(F.contains(text, F.lit(MARK)), F.split(text, pattern)).otherwise(F.split(marked, MARK))
-    return F.filter(lines, lambda line: line != "")
+        closed = closed | F.endswith(text, F.lit(end))
+    more = F.when(F.octet_length(text) > F.char_length(text), ends(others)).otherwise(0)
+    return F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(ends(ascii_ends) + more + F.when(closed, 0).otherwise(1))
 
 
 def _tokens(text: Column) -> Column:
@@ -61,7 +65,15 @@ def _tokens(text: Column) -> Column:
     for blank in BLANKS:
         marked = F.replace(marked, F.lit(blank), F.lit(blank + MARK))
     slow = F.split(text, f"(?<=[{BLANKS}{UNSPACED}])|(?=[{UNSPACED}])")
-    return F.filter(F.when(text.rlike(f"[{MARK}{UNSPACED}]"), slow).otherwise(F.split(marked, MARK)), lambda t: t != "")
+    unlike = F.contains(text, F.lit(MARK)) | _unspaced(text)
+    return F.array_remove(F.when(unlike, slow).otherwise(F.split(marked, MARK)), "")
+
+
+def _unspaced(text: Column) -> Column:
+    """Whether the text holds characters of scripts without blanks. They take three bytes, so most texts
+    are told by their length; one range is looked for faster than many."""
+    may = F.octet_length(text) >= F.char_length(text) + 2
+    return may & text.rlike(f"[{UNSPACED[0]}-\U0010ffff]") & text.rlike(f"[{UNSPACED}]")
 
 
 def _bare(token: Column) -> Column:
@@ -72,47 +84,44 @@ def _words(text: Column) -> Column:
     """The words; a text of none has one empty word."""
     inner = F.btrim(text, F.lit(BLANKS))
     unspaced = F.filter(F.transform(_tokens(text), _bare), lambda w: w != "")
-    # Such scripts take three bytes a character; most texts are told by their length.
-    may = F.octet_length(text) >= F.char_length(text) + 2
-    return F.when(may & text.rlike(f"[{UNSPACED}]"), unspaced).otherwise(F.split(inner, f"[{BLANKS}]+"))
+    return F.when(_unspaced(text), unspaced).otherwise(F.split(inner, f"[{BLANKS}]+"))
 
 
-def _least(values: Column, steps: tuple[int, ...]) -> Callable[[Column, Column], Column]:
-    return lambda x, k: F.least(x, *(F.get(values, k + s) for s in steps))
+def _hashed(texts: DataFrame, *more: str | Column) -> DataFrame:
+    """``texts`` with ``_h``, the hashes of their words. Words are read here only; grams, contexts and runs
+    are slices of hashes, taken row by row where Spark compiles them."""
+    return texts.select("_id", "_key", F.transform(_words(F.col("_text")), lambda w: F.xxhash64(w)).alias("_h"), *more)
 
 
-def _selected(words: Column) -> Column:
-    """(gram, at) of the selected places of a text of at least ``RUN`` words."""
+def _hash(start: Column, count: Column | int) -> Column:
+    return F.xxhash64(F.slice("_h", start + 1, F.lit(count) if isinstance(count, int) else count))
 
-    def of_packed(packed: Column) -> Column:
-        # The least of 4, then of 4 x 4 places; a place is packed below its word's hash.
-        four = F.transform(packed, _least(packed, (1, 2, 3)))
-        return _let(four, lambda v: F.transform(F.slice(v, F.lit(1), F.size(words) - (RUN - 1)), _least(v, (4, 8, 12))))
 
-    packed = F.transform(words, lambda w, k: F.xxhash64(w).bitwiseAND(F.lit(~PLACE)).bitwiseOR(k.cast("bigint")))
-    return F.transform(
-        F.array_distinct(_let(packed, of_packed)),
-        lambda x: _let(x.bitwiseAND(F.lit(PLACE)).cast("int"), lambda at: F.struct(_gram(words, at).alias("gram"), at.alias("at"))),
-    )
-
-
-def _hash(words: Column, start: Column, count: Column) -> Column:
-    return F.xxhash64(F.slice(words, start + 1, count))
+def _selected(hashed: DataFrame) -> DataFrame:
+    """``_id``, ``_key``, ``gram``, ``context``, ``at`` and ``b`` of the selected places of texts of ``RUN`` words or more.
 
-
-def _gram(words: Column, at: Column) -> Column:
-    return _hash(words, at, F.lit(GRAM))
+    A window selects its first least hash. It selects another place than the window before it if
+    among the words of both that hash stands in the first place, which it leaves, or the last,
+    which it enters: one row for each place, without a comparison of windows. The context is what
+    the runs around a gram can reach, from ``_start(at)`` to before ``b``.
+    """
+    size, i, at = F.size("_h"), F.col("_i"), F.col("at")
+    # A filter on the size alone would be moved below, and hash the words twice.
+    windows = hashed.select("_id", "_key", "_h", F.explode(F.sequence(F.lit(0), F.greatest(size - RUN, F.lit(0)))).alias("_i"))
+    both = F.slice("_h", F.greatest(i, F.lit(1)), F.lit(WINDOW + 1))
+    changed = (i == 0) | F.array_position(both, F.array_min(both)).isin(1, WINDOW + 1)
+    window = F.slice("_h", i + 1, F.lit(WINDOW))
+    places = windows.filter((i + RUN <= size) & changed).select(
+        "_id", "_key", "_h", (i + F.array_position(window, F.array_min(window)).cast("int") - 1).alias("at")
+    )
+    a, b = _start(at), F.least(at + RUN, size)
+    return places.select(
+        "_id", "_key", _hash(at, GRAM).alias("gram"), F.xxhash64(at - a, _hash(a, b - a)).alias("context"), "at", b.alias("b")
+    )
 
 
-def _context(words: Column, place: Column) -> Column:
-    """What the runs around a gram can reach: its hash, and the stretch from ``a`` to before ``b``."""
-    at = place["at"]
-    a = F.greatest(at - (WINDOW - 1), F.lit(0))
-    b = F.least(at + RUN, F.size(words))
-    return F.struct(
-        place["gram"].alias("gram"), F.xxhash64(at - a, _hash(words, a, b - a)).alias("context"),
-        at.alias("at"), a.alias("a"), b.alias("b"),
-    )
+def _start(at: Column) -> Column:
+    return F.greatest(at - (WINDOW - 1), F.lit(0))
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -120,45 +129,35 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_key"), F.col(text_col).alias("_text")
     )
-    words = _words(F.col("_text"))
-    grams = staged(
-        texts.select("_id", "_key", F.explode(_let(words, lambda w: F.when(F.size(w) >= RUN, _selected(w)))).alias("_s"))
-        .select("_id", "_key", "_s.*"),
-        "grams",
-    )
+    grams = staged(_selected(_hashed(texts)), "grams")
     repeated = staged(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram"), "repeated")
-    places = staged(grams.join(repeated, "gram").groupBy("_id", "_key").agg(F.collect_set(F.struct("at", "gram")).alias("_places")), "places")
+    release(docs.sparkSession)
+    around = staged(grams.join(repeated, "gram"), "around")
     unstage(grams, repeated)
-
-    held = staged(texts.join(places, ["_id", "_key"]), "held")
-    around = staged(
-        held.select("_id", "_key", F.explode(_let(words, lambda w: F.transform("_places", lambda p: _context(w, p)))).alias("_c"))
-        .select("_id", "_key", "_c.*"),
-        "around",
-    )
-    unstage(places)
     marked = staged(_marked(around), "marked")
     unstage(around)
 
     ends = marked.filter("_whole IS NULL").groupBy("_id", "_key").agg(F.collect_set("at").alias("_ends"))
-
-    def windows(w: Column) -> Column:
-        starts = lambda at: F.sequence(F.greatest(at - (WINDOW - 1), F.lit(0)), F.least(at, F.size(w) - RUN))
-        every = F.array_distinct(F.flatten(F.transform("_ends", starts)))
-        return F.transform(every, lambda at: F.struct(_hash(w, at, F.lit(RUN)).alias("run"), at.alias("at")))
-
-    runs = staged(
-        held.join(ends, ["_id", "_key"]).select("_id", "_key", F.explode(_let(words, windows)).alias("_r")).select("_id", "_key", "_r.*"),
-        "runs",
-    )
-    unstage(held)
+    starts = F.transform("_ends", lambda at: F.sequence(_start(at), F.least(at, F.size("_h") - RUN)))
+    held = _hashed(texts.join(ends, ["_id", "_key"]), "_ends").select("_id", "_key", "_h", F.array_distinct(F.flatten(starts)).alias("_starts"))
+    # Of a bare column Spark would infer that it is not empty, and test that below, on words hashed anew.
+    starts = held.select("_id", "_key", "_h", F.explode(F.sort_array("_starts")).alias("at"))
+    runs = staged(starts.select("_id", "_key", _hash(F.col("at"), RUN).alias("run"), "at"), "runs")
+    release(docs.sparkSession)
     firsts = runs.groupBy("run").agg(F.min(_place()).alias("_first"), F.max(_place()).alias("_last")).filter("_first <> _last")
     later = runs.join(staged(firsts.drop("_last"), "firsts"), "run").filter(_place() != F.col("_first"))
     # A copy that overlaps its own first leaves that whole.
     start = F.when(_own(), F.greatest("at", F.col("_first.at") + RUN)).otherwise(F.col("at"))
-    single = later.select("_id", "_key", F.struct((F.col("at") + RUN).alias("b"), start.alias("a")).alias("_range"))
+    single = later.select("_id", "_key", _range(start, F.col("at") + RUN).alias("_range"))
     whole = marked.filter("_whole IS NOT NULL").select("_id", "_key", F.col("_whole").alias("_range"))
-    return single.unionByName(whole).groupBy("_id", "_key").agg(F.sort_array(F.collect_set("_range")).alias("_ranges"))
+    ranges = single.unionByName(whole).groupBy("_id", "_key").agg(F.sort_array(F.collect_set("_range")).alias("_ranges"))
+    ends = lambda r: F.struct(F.shiftright(r, 31).cast("int").alias("b"), r.bitwiseAND(F.lit(PLACE)).cast("int").alias("a"))
+    return ranges.withColumn("_ranges", F.transform("_ranges", ends))
+
+
+def _range(a: Column, b: Column) -> Column:
+    """A stretch in one number, in order of its end; sets of those take less than sets of structs."""
+    return F.shiftleft(b.cast("bigint"), 31).bitwiseOR(a.cast("bigint"))
 
 
 def _place() -> Column:
@@ -188,7 +187,7 @@ def _marked(around: DataFrame) -> DataFrame:
     met = around.join(known, ["gram", "context"])
     # A context that stands once and whose gram has no other is met by its own repeated row only.
     is_first = _place() == F.col("_first")
-    whole = F.when(~_own(), F.struct("b", "a"))
+    whole = F.when(~_own(), _range(_start(F.col("at")), F.col("b")))
     return met.filter(~is_first | F.col("_open")).select("_id", "_key", "at", whole.alias("_whole"))
 
 
@@ -208,7 +207,11 @@ def _left(text: Column, tokens: Column) -> Column:
     every = F.sequence(F.lit(0), F.size(tokens) - 1)
     filled = F.filter(F.transform(tokens, lambda t, k: F.when(_bare(t) != "", k).otherwise(-1)), lambda k: k >= 0)
     # Without two blanks in a row every token is a word.
-    return _let(F.when(text.rlike(f"(^|[{BLANKS}])[{BLANKS}]"), filled).otherwise(every), of_places)
+    spaced = text
+    for blank in BLANKS[1:]:
+        spaced = F.replace(spaced, F.lit(blank), F.lit(BLANKS[0]))
+    doubled = F.startswith(spaced, F.lit(BLANKS[0])) | F.contains(spaced, F.lit(BLANKS[0] * 2))
+    return _let(F.when(doubled, filled).otherwise(every), of_places)
 
 
 def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,10 +230,9 @@ def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     repeats = F.col("_ranges").isNotNull()
     text = F.col("text")
     done = inner.join(ranges, same, "left").withColumn("_left", F.when(repeats, _let(_tokens(text), lambda t: _left(text, t))))
-    n_lines = F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(F.size(_lines("text")))
-    left_lines = F.when(F.col("_left") == "", 0).otherwise(F.size(_lines("_left")))
+    n_lines = _n_lines(text)
     return done.select(
         *(F.when(repeats, F.col("_left")).otherwise(text).alias(c) if c == "text" else F.col(c) for c in inner.columns),
         n_lines.alias("_n_lines"),
-        F.when(repeats, n_lines - left_lines).otherwise(0).alias("_n_removed"),
+        F.when(repeats, n_lines - _n_lines(F.col("_left"))).otherwise(0).alias("_n_removed"),
     ).toDF(*docs.columns, "_n_lines", "_n_removed")

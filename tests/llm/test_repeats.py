@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridloom.llm import catalog, repeats
@@ -127,3 +128,39 @@ def test_stage(spark):
 def test_no_python_in_the_plan(spark):
     plan = catalog.op9_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_no_text_is_staged_and_windows_are_compiled(spark, monkeypatch):
+    seen, real = {}, repeats.staged
+
+    def staged(df, purpose):
+        seen[purpose] = df.columns, df._jdf.queryExecution().executedPlan().toString()
+        return real(df, purpose)
+
+    monkeypatch.setattr(repeats, "staged", staged)
+    check(spark, [(1, sentence(1, 40) + sentence(2, 40)), (2, sentence(1, 40) + sentence(3, 40))])
+    assert not any("_text" in columns for columns, _ in seen.values())
+    assert re.search(r"\*\(\d+\) Generate explode\(sequence", seen["grams"][1])
+
+
+def test_selected_places_are_the_first_least_of_all_windows(spark):
+    rng = np.random.default_rng(5)
+    # Few different hashes, so that the least one stands in a window more than once.
+    rows = [(k, k, [int(x) for x in rng.integers(0, 6 if k % 2 else 10**9, int(rng.integers(20, 90)))]) for k in range(60)]
+    got = repeats._selected(spark.createDataFrame(rows, "_id bigint, _key bigint, _h array<bigint>")).collect()
+    want = []
+    for k, _, h in rows:
+        windows = range(len(h) - N + 1)
+        want += [(k, at) for at in {min(range(i, i + repeats.WINDOW), key=lambda x: (h[x], x)) for i in windows}]
+    assert sorted((r._id, r.at) for r in got) == sorted(want)
+    assert all(r.b == min(r.at + N, len(rows[r._id][2])) for r in got)
+
+
+def test_lines_are_counted_as_they_split(spark):
+    rng = np.random.default_rng(6)
+    pool = ["a", " ", ".", "!", "? ", "\n", "…", "… ", "。", "！", "？", "\x01", "é"]
+    texts = [None, "", *("".join(pool[k] for k in rng.integers(0, len(pool), int(rng.integers(0, 30)))) for _ in range(400))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    pattern = "|".join(f"(?<={re.escape(end)})" for end in repeats.LINE_ENDS)
+    for row in frame.select("text", repeats._n_lines(F.col("text")).alias("n")).collect():
+        assert row.n == len([x for x in re.split(pattern, row.text or "") if x])
