@@ -143,9 +143,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Of a bare column Spark would infer that it is not empty, and test that below, on words hashed anew.
     starts = held.select("_id", "_key", "_h", F.explode(F.sort_array("_starts")).alias("at"))
     runs = staged(starts.select("_id", "_key", _hash(F.col("at"), RUN).alias("run"), "at"), "runs")
-    release(docs.sparkSession)
     firsts = runs.groupBy("run").agg(F.min(_place()).alias("_first"), F.max(_place()).alias("_last")).filter("_first <> _last")
-    later = runs.join(staged(firsts.drop("_last"), "firsts"), "run").filter(_place() != F.col("_first"))
+    firsts = staged(firsts.drop("_last"), "firsts")
+    # The shuffle of the texts goes only now: that of the last job is still held.
+    release(docs.sparkSession)
+    later = runs.join(firsts, "run").filter(_place() != F.col("_first"))
     # A copy that overlaps its own first leaves that whole.
     start = F.when(_own(), F.greatest("at", F.col("_first.at") + RUN)).otherwise(F.col("at"))
     single = later.select("_id", "_key", _range(start, F.col("at") + RUN).alias("_range"))
@@ -229,10 +231,10 @@ def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     same = (F.col("doc").cast("bigint") == F.col("_run_id")) & (F.xxhash64("text") == F.col("_run_key"))
     repeats = F.col("_ranges").isNotNull()
     text = F.col("text")
-    done = inner.join(ranges, same, "left").withColumn("_left", F.when(repeats, _let(_tokens(text), lambda t: _left(text, t))))
-    n_lines = _n_lines(text)
+    left = F.when(repeats, _let(_tokens(text), lambda t: _left(text, t)))
+    done = inner.join(ranges, same, "left").withColumns({"_left": left, "_n_lines": _n_lines(text)})
     return done.select(
         *(F.when(repeats, F.col("_left")).otherwise(text).alias(c) if c == "text" else F.col(c) for c in inner.columns),
-        n_lines.alias("_n_lines"),
-        F.when(repeats, n_lines - _n_lines(F.col("_left"))).otherwise(0).alias("_n_removed"),
+        "_n_lines",
+        F.when(repeats, F.col("_n_lines") - _n_lines(F.col("_left"))).otherwise(0).alias("_n_removed"),
     ).toDF(*docs.columns, "_n_lines", "_n_removed")
